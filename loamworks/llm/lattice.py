@@ -173,6 +173,43 @@ class Lattice:
             alpha[here] = top + np.log(total)
         return lay, piece, alpha, cdf
 
+    def expected(self, units: list[str], count: np.ndarray) -> np.ndarray:
+        """How often each piece is expected over all segmentations of the (non-empty) units, each taken ``count`` times."""
+        lay, piece, alpha, _ = self.forward(units)
+        table = np.append(self.vocabulary.log_weight, -np.inf)
+        off = lay.level_start.tolist()
+        beta = np.zeros(len(lay.cps))
+        raw = self.byte_weight(lay.cps)
+        total = np.zeros(len(self.vocabulary.log_weight))
+        by_rank = np.argsort(lay.rank)
+        whole = alpha[lay.level_start[lay.size - 1] + lay.rank][by_rank]
+        times = count[by_rank]
+        for p in range(len(off) - 2, -1, -1):
+            m = off[p + 1] - off[p]
+            here = slice(off[p], off[p + 1])
+            reach = min(len(piece), len(off) - 1 - p)
+            terms = np.empty((reach, m))
+            for step in range(reach):
+                ids = piece[step, here]
+                terms[step] = table[ids]
+                if step == 0:
+                    terms[step] = np.where(ids == -2, raw[here], terms[step])
+                if (nxt := p + step + 1) < len(off) - 1:
+                    longer = off[nxt + 1] - off[nxt]
+                    terms[step, :longer] += beta[off[nxt] : off[nxt + 1]]
+            top = terms.max(0)
+            beta[here] = top + np.log(np.exp(terms - top).sum(0))
+            before = alpha[off[p - 1] : off[p - 1] + m] if p else 0.0
+            share = np.exp(terms + (before - whole[:m])) * times[:m]
+            for step in range(reach):
+                ids = piece[step, here]
+                some = np.flatnonzero(ids >= 0)
+                total += np.bincount(ids[some], share[step, some], len(total))
+            spelt = np.flatnonzero(piece[0, here] == -2)
+            for c, x in zip(lay.cps[off[p] + spelt].tolist(), share[0, spelt].tolist()):
+                total[self.vocabulary.byte_ids[list(chr(c).encode())]] += x
+        return total
+
     def log_marginal(self, units: list[str]) -> np.ndarray:
         """The log of each unit's summed weight over all its segmentations; 0 for an empty unit."""
         out = np.zeros(len(units))
