@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from loamworks.llm import lattice_lm, piece_sampling, sharding, simhash_ball, token_packing
+from loamworks.llm import lattice_lm, piece_sampling, quality_gam, sharding, simhash_ball, token_packing, toxicity_pu
 
 QUERIES = {
     "op1_token_packing": token_packing.query,
     "op2_simhash_ball": simhash_ball.query,
     "op3_sharding": sharding.query,
+    "op5_toxicity_pu": toxicity_pu.query,
     "op8_piece_sampling": piece_sampling.query,
+    "op9_quality_gam": quality_gam.query,
     "op10_lattice_lm": lattice_lm.query,
 }
 ORACLES = {"op3_sharding": sharding.ORACLE_SQL}
