@@ -3,10 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loamworks.llm import decontaminate, piece_sampling, quality_gam, simhash_ball, toxicity_pu
+from loamworks.llm.lattice import load_vocabulary
 from loamworks.llm.shared import written
 
-STAGES: list = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model rejects go. It is fitted on the labelled rows of the whole corpus."""
+    return quality_gam.keep(docs, quality_gam.trained_on(spark, sf_dir))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go. It is fitted on the labelled rows of the whole corpus."""
+    return toxicity_pu.keep(docs, toxicity_pu.trained_on(spark, sf_dir))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash_ball.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, as it is or with other numbers, names and units, go."""
+    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' columns with a sampled segmentation's ids in place of the text, which the ids restore."""
+    encoded = piece_sampling.encode_sampled(docs, load_vocabulary(piece_sampling.VOCABULARY))
+    return encoded.drop("text").withColumn("n_ids", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("quality", quality),
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
+]
 
 #: Learned models and sampled segmentations are beyond SQL; the tests hold each stage against a brute-force version.
 ORACLE_SQL = None

@@ -154,7 +154,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return prints.join(linked, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("least").alias("component_id"))
 
 
-def components_of_groups(groups: DataFrame, radius: int = RADIUS) -> DataFrame:
+def components_of_groups(groups: DataFrame, radius: int) -> DataFrame:
     """(fp, least) -> (fp, root, least), the smallest ``least`` of the fingerprint's component and its root fingerprint."""
     linked = components(fingerprint_edges(groups, radius))
     joined = groups.join(linked, groups.fp == linked.vertex, "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
@@ -171,5 +171,33 @@ def fingerprint_edges(groups: DataFrame, radius: int, prefix: int | None = None)
     return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_ball_links(half, radius, prefix), "a long, b long")
 
 
+#: Dropped rows whose numbers are broadcast at most; more are taken out by a shuffled join.
+BROADCAST_ROWS = 1_000_000
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """The rows, with all their columns, less all but one of each component: the row with the smallest id stays (null
+    ids last; of repeated rows any one, the same each time it is read)."""
+    at = docs.columns.index(text_col)
+    kind = docs.schema.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = np.array([fingerprint((t.as_py() or "").encode()) for t in b.column(0).field(at)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.int64())], names=["doc", "fp"])
+
+    # The rows go into one column, so none of theirs can clash; written once, as their numbers must stay the same.
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc")).mapInArrow(run, f"doc {kind}, fp long")
+    held = written(packed.withColumn("row", F.monotonically_increasing_id()), "rows")
+    own = F.col("doc").getField(id_col)
+    slim = held.select("row", "fp", F.struct(own.isNull().alias("no_id"), own.alias("id"), "row").alias("least"))
+    groups = written(slim.groupBy("fp").agg(F.min("least").alias("least")), "groups")
+    linked = components_of_groups(groups, radius).select("fp", F.col("least.row").alias("stays"))
+    drop = written(slim.select("row", "fp").join(linked, "fp").where("row <> stays").select("row"), "dropped")
+    if drop.count() <= BROADCAST_ROWS:
+        drop = F.broadcast(drop)
+    return held.join(drop, "row", "left_anti").select("doc.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
