@@ -31,6 +31,8 @@ RECALL = 0.998
 SIGMAS = 5.0
 BUCKET = 64
 TILE = 2_048
+#: Large buckets that are broadcast at most; more are joined by shuffle.
+BROADCAST_BUCKETS = 100_000
 SEED = 7
 
 
@@ -157,11 +159,12 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     takes the smallest id; a group of null ids alone has a null component, and is not kept. Ties in cosine do not
     matter. An empty table gives no rows. Other columns are not read.
     """
-    slim = vectors.select(vectors[id_col].alias("vec_id"), vectors[label_col].alias("label"), vectors[vector_col].cast("array<double>").alias("embedding"))
-    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("embedding", lambda v: v != 0)
+    slim = vectors.select(vectors[id_col].alias("vec_id"), vectors[label_col].alias("label"), vectors[vector_col].alias("embedding"))
+    number = slim.schema["embedding"].dataType.elementType.simpleString()
+    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists("embedding", lambda v: v != 0)
     slim = slim.withColumn("ok", F.coalesce(F.col("label").isNotNull() & finite, F.lit(False)))
     # -0.0 and 0.0 are one value; a class is one vector under one label
-    usable = slim.where("ok").withColumn("embedding", F.transform("embedding", lambda v: v + 0.0))
+    usable = slim.where("ok").withColumn("embedding", F.transform("embedding", lambda v: (v + F.lit(0).cast(number)).cast(number)))
     classes = usable.groupBy("label", "embedding").agg(F.count("*").alias("size"), F.min("vec_id").alias("least"))
     classes = written(classes.withColumn("class_key", F.monotonically_increasing_id()).withColumn("label_key", F.xxhash64("label", F.size("embedding"))), "classes")
     shapes = classes.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).collect()  # one row a vector length
@@ -183,11 +186,13 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
 
 
 def _links(classes: DataFrame, dim: int, bits: int, rotations: int, threshold: float, seed: int) -> DataFrame:
-    kind = "class_key long, size long, label_key long, embedding array<double>, codes array<int>"
-    coded = classes.select("class_key", "size", "label_key", "embedding").mapInArrow(_coder(bits, rotations, dim, seed), kind)
+    kind = f"class_key long, size long, label_key long, embedding {classes.schema['embedding'].dataType.simpleString()}, codes array<int>"
+    coded = written(classes.select("class_key", "size", "label_key", "embedding").mapInArrow(_coder(bits, rotations, dim, seed), kind), "codes")
     rows = coded.select("*", F.posexplode("codes").alias("turn", "bucket")).withColumn("turn", F.col("turn").cast("long")).withColumn("bucket", F.col("bucket").cast("long"))
     place = ["label_key", "turn", "bucket"]
-    large = rows.groupBy(*place).count().where(F.col("count") > TILE).select(*place, F.ceil(F.col("count") / TILE).alias("tiles"))
+    large = written(rows.groupBy(*place).count().where(F.col("count") > TILE).select(*place, F.ceil(F.col("count") / TILE).alias("tiles")), "tiles")
+    if large.count() <= BROADCAST_BUCKETS:
+        large = F.broadcast(large)
     rows = rows.join(large, place, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     mine = F.pmod(F.xxhash64("class_key"), F.col("tiles"))
     others = F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)
