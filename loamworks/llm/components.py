@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamworks.llm.shared import forget, written
+from loamworks.llm.shared import forget, lean, written
 
 EDGE = "a long, b long"
 
@@ -73,7 +73,7 @@ def components(edges: DataFrame) -> DataFrame:
     Self loops and repeated edges are ignored; an empty table gives an empty table.
     """
     e = edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    e = written(e.mapInPandas(_contract, EDGE).distinct(), "edges")
+    e = written(e.mapInPandas(lean(_contract), EDGE).distinct(), "edges")
     before = None
     while True:
         now = e.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("x")).first()

@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamworks.llm.lattice import Lattice, Vocabulary, load_vocabulary
+from loamworks.llm.shared import lean
 
 #: No piece holds a line break, and a space only at its start.
 UNIT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
-CHUNK_UNITS = 300_000
+CHUNK_UNITS = 100_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -139,7 +140,7 @@ def encode_sampled(docs: DataFrame, vocabulary: Vocabulary, *, key_col: str = "d
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *ids]), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*b.columns[:many], lists], names=[*columns, out_col])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def decode_ids(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -155,7 +156,7 @@ def decode_ids(encoded: DataFrame, vocabulary: Vocabulary, *, ids_col: str = "id
             texts = [None if not x.is_valid else decoder.decode(x.values.to_numpy()) for x in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*columns, out_col])
 
-    return encoded.select(*[encoded[c] for c in columns]).mapInArrow(run, schema)
+    return encoded.select(*[encoded[c] for c in columns]).mapInArrow(lean(run), schema)
 
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"

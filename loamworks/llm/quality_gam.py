@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamworks.llm.shared import crc_mod
+from loamworks.llm.shared import crc_mod, lean
 
 #: Labelled rows that the model is fitted on at most: those whose ids' hashes are least.
 SAMPLE = 20_000
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, *, id_col: str = "
     known = labels.where(usable & labels[label_col].isNotNull() & labels[id_col].isNotNull())
     ids = known.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("y")).orderBy(F.xxhash64("id"), "id", "y").limit(sample)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(ids), "id")  # at most ``sample`` rows
-    rows = texts.select(F.xxhash64("id").alias("at"), "y", "text").mapInArrow(_rows, "at long, y int, x array<double>").orderBy("at", "y", "x").limit(sample).toArrow()
+    rows = texts.select(F.xxhash64("id").alias("at"), "y", "text").mapInArrow(lean(_rows), "at long, y int, x array<double>").orderBy("at", "y", "x").limit(sample).toArrow()
     x = rows["x"].combine_chunks()
     x = x.flatten().to_numpy() if rows.num_rows else np.empty(0)
     return fit(np.reshape(x, (-1, len(FEATURES))), rows["y"].to_numpy().astype(float))
@@ -223,7 +223,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scored(b.column(1), shared.value))], names=["doc_id", "score"])
 
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col]).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, score double")
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col]).mapInArrow(lean(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, score double")
 
 
 def keep(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -234,7 +234,7 @@ def keep(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: fl
         for b in batches:
             yield b.filter(pa.array(_scored(b.column(at), shared.value) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def trained_on(spark: SparkSession, sf_dir: str) -> Model:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamworks.llm.components import components, spanning_forest
-from loamworks.llm.shared import written
+from loamworks.llm.shared import lean, written
 
 THRESHOLD = 0.93
 RECALL = 0.998
@@ -187,7 +187,7 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
 
 def _links(classes: DataFrame, dim: int, bits: int, rotations: int, threshold: float, seed: int) -> DataFrame:
     kind = f"class_key long, size long, label_key long, embedding {classes.schema['embedding'].dataType.simpleString()}, codes array<int>"
-    coded = written(classes.select("class_key", "size", "label_key", "embedding").mapInArrow(_coder(bits, rotations, dim, seed), kind), "codes")
+    coded = written(classes.select("class_key", "size", "label_key", "embedding").mapInArrow(lean(_coder(bits, rotations, dim, seed)), kind), "codes")
     rows = coded.select("*", F.posexplode("codes").alias("turn", "bucket")).withColumn("turn", F.col("turn").cast("long")).withColumn("bucket", F.col("bucket").cast("long"))
     place = ["label_key", "turn", "bucket"]
     large = written(rows.groupBy(*place).count().where(F.col("count") > TILE).select(*place, F.ceil(F.col("count") / TILE).alias("tiles")), "tiles")
@@ -199,7 +199,7 @@ def _links(classes: DataFrame, dim: int, bits: int, rotations: int, threshold: f
     rows = rows.withColumn("mine", mine).withColumn("other", F.explode(others))
     dealt = rows.select("class_key", "size", "embedding", "codes", *place, F.least("mine", "other").alias("tile_a"), F.greatest("mine", "other").alias("tile_b"), (F.col("mine") > F.col("other")).cast("int").alias("half"), (F.col("mine") != F.col("other")).alias("cross"))
     keys = [*place, "tile_a", "tile_b"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "half").mapInArrow(_joiner(threshold, seed), "a long, b long, n long")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "half").mapInArrow(lean(_joiner(threshold, seed)), "a long, b long, n long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamworks.llm.components import components, spanning_forest
-from loamworks.llm.shared import written
+from loamworks.llm.shared import lean, written
 
 BITS = 64
 RADIUS = 4
@@ -27,7 +27,7 @@ SHINGLE = 4
 SEED = 42
 _CHUNK = 1 << 16
 #: Variants that a task holds at once.
-BLOCK_VARIANTS = 4_000_000
+BLOCK_VARIANTS = 1_000_000
 
 
 def fingerprint(text: bytes, words: int = SHINGLE, seed: int = SEED) -> int:
@@ -136,7 +136,7 @@ def _ball_links(half: int, radius: int, prefix: int):
 
 
 def with_fingerprints(docs: DataFrame, *, text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
-    return docs.select(*extra, text_col).mapInArrow(_fingerprints(list(extra), text_col), ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in extra), "fp long"]))
+    return docs.select(*extra, text_col).mapInArrow(lean(_fingerprints(list(extra), text_col)), ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in extra), "fp long"]))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -168,7 +168,7 @@ def fingerprint_edges(groups: DataFrame, radius: int, prefix: int | None = None)
         prefix = min(16, max(4, (groups.count() // 50_000).bit_length() + 4))
     masks = F.array(*[F.lit(int(m)) for m in _masks(prefix, half)])
     keyed = groups.select("fp", F.explode(F.transform(masks, lambda m: F.shiftrightunsigned("fp", BITS - prefix).bitwiseXOR(m))).alias("key"))
-    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(_ball_links(half, radius, prefix), "a long, b long")
+    return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(lean(_ball_links(half, radius, prefix)), "a long, b long")
 
 
 #: Dropped rows whose numbers are broadcast at most; more are taken out by a shuffled join.
@@ -187,7 +187,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.int64())], names=["doc", "fp"])
 
     # The rows go into one column, so none of theirs can clash; written once, as their numbers must stay the same.
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc")).mapInArrow(run, f"doc {kind}, fp long")
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc")).mapInArrow(lean(run), f"doc {kind}, fp long")
     held = written(packed.withColumn("row", F.monotonically_increasing_id()), "rows")
     own = F.col("doc").getField(id_col)
     slim = held.select("row", "fp", F.struct(own.isNull().alias("no_id"), own.alias("id"), "row").alias("least"))

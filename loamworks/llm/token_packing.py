@@ -17,6 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamworks.llm.shared import lean
+
 LENGTH = 2048
 WINDOW_TOKENS = 4_000_000
 PACKED = (
@@ -163,7 +165,7 @@ def pack_tokens(
         if held:
             yield _pack(held, number, length, dtype)[0]
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, PACKED)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(lean(run), PACKED)
 
 
 def write_packed(packed: DataFrame, path: str, *, length: int = LENGTH, wide: bool = False) -> None:
@@ -183,7 +185,7 @@ def write_packed(packed: DataFrame, path: str, *, length: int = LENGTH, wide: bo
                 positions.append(np.where(np.arange(length) < len(got), np.arange(length) - np.maximum.accumulate(starts), 0).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("pack_id", "n_tokens", "cu_seqlens")), pa.array(ids, pa.binary()), pa.array(positions, pa.binary())], names=["pack_id", "n_tokens", "cu_seqlens", "ids", "position_ids"])
 
-    packed.mapInArrow(pad, "pack_id long, n_tokens int, cu_seqlens array<int>, ids binary, position_ids binary").write.mode("overwrite").parquet(path)
+    packed.mapInArrow(lean(pad), "pack_id long, n_tokens int, cu_seqlens array<int>, ids binary, position_ids binary").write.mode("overwrite").parquet(path)
 
 
 def query(spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/tokenizers/byte_bpe_50k.tiktoken") -> DataFrame:

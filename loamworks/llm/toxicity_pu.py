@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamworks.llm.shared import crc_mod
+from loamworks.llm.shared import crc_mod, lean
 
 #: Toxic and unlabelled rows that the model is fitted on at most: those whose ids' hashes are least.
 POSITIVES = 5_000
@@ -93,7 +93,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, *, id_col: str = "
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     # At most ``positives`` and ``unlabelled`` ids are broadcast.
     picked = texts.join(F.broadcast(toxic.unionByName(plain)), "id").select(F.xxhash64("id", "text").alias("at"), "toxic", "text")
-    held = picked.mapInArrow(_doc_words, "at long, toxic boolean, words array<string>").persist()
+    held = picked.mapInArrow(lean(_doc_words), "at long, toxic boolean, words array<string>").persist()
     try:
         n_p, n_u = held.agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first()
         if not n_p or not n_u:
@@ -129,7 +129,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scored(b.column(1), shared.value))], names=["doc_id", "score"])
 
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col]).mapInArrow(run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, score double")
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col]).mapInArrow(lean(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, score double")
 
 
 def keep(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -140,7 +140,7 @@ def keep(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: fl
         for b in batches:
             yield b.filter(pa.array(_scored(b.column(at), shared.value) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def trained_on(spark: SparkSession, sf_dir: str) -> Model:
