@@ -1,0 +1,173 @@
+"""Fill-in-the-middle examples and renamed variables (G1 to G12). Draws are seeded by a hash of the seed and the row's id."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PREFIX, SUFFIX, MIDDLE = "<PREFIX>", "<SUFFIX>", "<MIDDLE>"
+STRATEGIES = (("line", 0.4), ("function", 0.3), ("identifier", 0.2), ("token", 0.1))
+FIM = "id string, text string, meta struct<middle_chars: array<int>, prefix_len: int, suffix_len: int, middle_len: int, strategy: string>"
+RENAMED = "id string, text string, augmentation string, variable_mappings map<string, string>"
+KEYWORDS = frozenset(
+    "abstract any as async await boolean break case catch class const constructor continue default delete do else enum export extends false finally "
+    "for from function get if implements import in instanceof interface let new null number of private protected public readonly return set static "
+    "string struct super switch this throw true try type typeof undefined var void while yield build".split()
+)
+Span = tuple[int, int] | None
+
+
+def rng_of(seed: int, key: str) -> random.Random:
+    return random.Random(int.from_bytes(hashlib.sha256(f"{seed}:{key}".encode()).digest()[:8], "big"))
+
+
+def line_span(code: str, r: random.Random, least: int, most: int) -> Span:
+    lines = code.splitlines(keepends=True)
+    if len(lines) < 6:
+        return None
+    starts = [0]
+    for x in lines:
+        starts.append(starts[-1] + len(x))
+    for _ in range(30):
+        n = r.randint(2, max(2, min(20, len(lines) // 3)))
+        at = r.randint(0, len(lines) - n)
+        a, b = starts[at], starts[at + n]
+        if least <= b - a <= most and code[a:b].strip():
+            return a, b
+    return None
+
+
+def token_span(code: str, r: random.Random, least: int, most: int) -> Span:
+    for _ in range(20):
+        n = r.randint(least, max(least, min(most, len(code) // 2)))
+        if n < len(code):
+            a = r.randint(0, len(code) - n)
+            if code[a : a + n].strip():
+                return a, a + n
+    return None
+
+
+def bodies(code: str) -> list[tuple[int, int, int]]:
+    """(start of the head's line, start of the body, its end) of functions, by matching braces."""
+    out = []
+    for m in re.finditer(r"\)\s*(?::\s*[\w<>\[\]| ]+)?\s*\{", code):
+        depth = 0
+        for at in range(m.end() - 1, len(code)):
+            depth += (code[at] == "{") - (code[at] == "}")
+            if depth == 0:
+                out.append((code.rfind("\n", 0, m.start()) + 1, m.end(), at))
+                break
+    return out
+
+
+def function_span(code: str, r: random.Random, least: int, most: int) -> Span:
+    fit = [(a, b) for _, a, b in bodies(code) if b - a >= least]
+    if not fit:
+        return None
+    a, b = r.choice(fit)
+    n = r.randint(least, min(most, b - a))
+    start = r.randint(a, b - n)
+    return start, start + n
+
+
+def identifier_span(code: str, r: random.Random, least: int, most: int) -> Span:
+    names = [(n, c) for n, c in Counter(re.findall(r"\b[A-Za-z_]\w*", code)).most_common(30) if c >= 3 and n not in KEYWORDS][:10]
+    if not names:
+        return None
+    m = r.choice(list(re.finditer(rf"\b{re.escape(r.choice(names)[0])}\b", code)))
+    n = r.randint(least, max(least, min(most, len(code) // 2)))
+    a = max(0, min(m.start() - n // 2, len(code) - n))
+    return (a, a + n) if 0 < n < len(code) and code[a : a + n].strip() else None
+
+
+SPANS: dict[str, Callable[[str, random.Random, int, int], Span]] = {"line": line_span, "function": function_span, "identifier": identifier_span, "token": token_span}
+
+
+def fim_record(code: str, span: tuple[int, int], strategy: str) -> dict:
+    """Prefix, suffix, middle; put together in the right order they are the code."""
+    a, b = span
+    return {"text": f"{PREFIX}{code[:a]}{SUFFIX}{code[b:]}{MIDDLE}{code[a:b]}", "meta": {"middle_chars": [a, b], "prefix_len": a, "suffix_len": len(code) - b, "middle_len": b - a, "strategy": strategy}}
+
+
+def fim(df: DataFrame, *, id_col: str = "id", text_col: str = "text", seed: int = 42, least: int = 20, most: int = 400, weights: tuple[tuple[str, float], ...] = STRATEGIES, tries: int = 12) -> DataFrame:
+    """One example a row where a span is found; texts shorter than ``least`` + 10 have none."""
+    names, shares = [n for n, _ in weights], [w for _, w in weights]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for key, code in zip(f["id"], f["text"]):
+                if code is None or len(code) < least + 10:
+                    continue
+                r = rng_of(seed, key)
+                for _ in range(tries):
+                    strategy = r.choices(names, shares)[0]
+                    if (span := SPANS[strategy](code, r, least, most)) is not None:
+                        out.append({"id": key, **fim_record(code, span, strategy)})
+                        break
+            yield pd.DataFrame(out, columns=["id", "text", "meta"])
+
+    return df.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, FIM)
+
+
+def fim_with_originals(df: DataFrame, percent: float, *, id_col: str = "id", text_col: str = "text", seed: int = 42) -> DataFrame:
+    """The originals and examples made from a random ``percent`` of them, evenly interleaved (``place``)."""
+    from loamworks.operators.sample import interleave, random_sample
+
+    base = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
+    picked = random_sample(base, round(percent / 100 * base.count()), seed=seed)
+    return interleave(fim(picked, seed=seed).select("id", "text", F.lit(True).alias("is_fim")), base.withColumn("is_fim", F.lit(False)), "id")
+
+
+def fim_functions(df: DataFrame, *, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """Whole function bodies as middles; bodies without anything in them are left out."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = [(key, code[:a], code[a:b], code[b:], code.count("\n", 0, head), "function") for key, code in zip(f["id"], f["text"]) if code for head, a, b in bodies(code) if code[a:b].strip()]
+            yield pd.DataFrame(rows, columns=["source_id", "prefix", "middle", "suffix", "start_line", "fim_type"])
+
+    return df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, "source_id string, prefix string, middle string, suffix string, start_line int, fim_type string")
+
+
+def declared(code: str) -> list[str]:
+    """Declared variables and parameters, in order of appearance."""
+    names = re.findall(r"\b(?:let|const|var)\s+([A-Za-z_$][\w$]*)", code)
+    for word, params in re.findall(r"(\w*)\s*\(([^()]*)\)\s*(?::\s*[\w<>\[\]| ]+)?\s*(?:=>|\{)", code):
+        if word not in ("if", "for", "while", "switch", "with"):
+            names += [m.group(1) for p in params.split(",") if (m := re.match(r"\s*([A-Za-z_$][\w$]*)\s*(?::|=|$)", p))]
+    return [n for n in dict.fromkeys(names) if n not in KEYWORDS]
+
+
+def rename(code: str, mapping: dict[str, str]) -> str:
+    """Whole-word renames outside strings and comments; members after a dot stay."""
+    parts = re.split(r"(//[^\n]*|/\*.*?\*/|\"(?:\\.|[^\"\\\n])*\"|'(?:\\.|[^'\\\n])*'|`(?:\\.|[^`\\])*`)", code, flags=re.DOTALL)
+    for i in range(0, len(parts), 2):
+        for old, new in mapping.items():
+            parts[i] = re.sub(rf"(?<![\w$.]){re.escape(old)}(?![\w$])", new, parts[i])
+    return "".join(parts)
+
+
+def renamed(df: DataFrame, *, id_col: str = "id", text_col: str = "text", most: int = 2, seed: int = 42, synonyms: Callable[[str], list[str]] | None = None) -> DataFrame:
+    """Up to ``most`` variables of each text renamed: by the first synonym that is free, else with digits added."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            out = []
+            for key, code in zip(f["id"], f["text"]):
+                r, names = rng_of(seed, key or ""), declared(code or "")
+                mapping: dict[str, str] = {}
+                for old in r.sample(names, min(most, len(names))):
+                    free = [s for s in (synonyms(old) if synonyms else []) if s not in names and s not in mapping.values()]
+                    mapping[old] = free[0] if free else f"{old}{r.randint(10, 99)}"
+                out.append((key, rename(code or "", mapping), "variable_renaming" if mapping else "none", mapping))
+            yield pd.DataFrame(out, columns=["id", "text", "augmentation", "variable_mappings"])
+
+    return df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).mapInPandas(run, RENAMED)
