@@ -33,37 +33,44 @@ def first_by_name(df: DataFrame, name: str, *order: str) -> DataFrame:
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(name).orderBy(*order))).where("__n = 1").drop("__n")
 
 
+def _spread(x: np.ndarray) -> np.ndarray:
+    """SplitMix64's output function."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def signature(text: str | None, a: np.ndarray, b: np.ndarray) -> np.ndarray | None:
-    """MinHash over the set of five-character shingles; None for shorter texts."""
+    """MinHash over the set of five-character shingles; None for shorter texts. Each shingle is hashed once, and the
+    permutations are multiplications of its 32 bits by odd numbers."""
     if text is None or len(text) < SHINGLE:
         return None
-    shingles = {text[i : i + SHINGLE] for i in range(len(text) - SHINGLE + 1)}
-    h = np.fromiter((hash_of(s) for s in shingles), np.uint64, len(shingles))
-    least = np.full(len(a), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(h), 4096):
-        np.minimum(least, (a[:, None] * h[at : at + 4096] + b[:, None]).min(1), out=least)
+    chars = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    rolled = np.zeros(len(chars) - SHINGLE + 1, np.uint64)
+    for k in range(SHINGLE):
+        rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + chars[k : k + len(rolled)]
+    h = np.unique((_spread(rolled) >> np.uint64(32)).astype(np.uint32))
+    least = np.full(len(a), np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(h), 512):  # 512 x 256 numbers stay in the cache
+        np.minimum(least, (a[:, None] * h[at : at + 512] + b[:, None]).min(1), out=least)
     return least
 
 
-def hash_of(shingle: str | bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(shingle)
-
-
 def near_duplicate_ids(df: DataFrame, *, id_col: str = "id", text_col: str = "text", seed: int = 42) -> DataFrame:
     """Ids of rows that share a band with a row of a smaller id: candidates are not verified, and kept rows do not
     shield others. Each band's smallest id is a grouped minimum, so a bucket of any size is never gathered."""
 
     def bands(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
+
         rng = np.random.default_rng(seed)
-        a = rng.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
-        b = rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
+        a = rng.integers(1, 2**32, PERMUTATIONS, dtype=np.uint32) | np.uint32(1)
+        b = rng.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32)
         for f in frames:
             out = []
             for i, t in zip(f["id"], f["text"]):
                 if (s := signature(t, a, b)) is not None:
-                    out.extend((i, k, hash_of(s[k * ROWS : (k + 1) * ROWS].tobytes()) >> 1) for k in range(BANDS))
+                    out.extend((i, k, xxhash.xxh64_intdigest(s[k * ROWS : (k + 1) * ROWS].tobytes()) >> 1) for k in range(BANDS))
             yield pd.DataFrame(out, columns=["id", "band", "key"])
 
     kind = df.schema[id_col].dataType.simpleString()

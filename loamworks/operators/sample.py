@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamworks.operators.ordering import random_key, ranked
+from loamworks.operators.ordering import checkpointed, random_key, ranked
 
 
 def random_sample(df: DataFrame, n: int, *, id_col: str = "id", seed: int = 42) -> DataFrame:
@@ -68,7 +68,8 @@ def token_budget(df: DataFrame, budget: int, *, tokens: str = "text_tokens", id_
 
 def assign_splits(df: DataFrame, *, test_tokens: int = 1_000_000, valid_tokens: int = 100_000, tokens: str = "text_tokens", id_col: str = "id") -> DataFrame:
     """``split``: rows that leak are unused, but for test and then validation rows drawn from them; others train."""
-    leaked = df.where("leaked")
+    # ids and token counts alone are ordered, and computed once
+    leaked = checkpointed(df.where("leaked").select(id_col, tokens))
     test = token_budget(leaked, test_tokens, tokens=tokens, id_col=id_col, seed=42).select(F.col(id_col).alias("__id")).distinct().withColumn("__split", F.lit("test"))
     rest = leaked.join(test, F.col(id_col) == F.col("__id"), "left_anti")
     valid = token_budget(rest, valid_tokens, tokens=tokens, id_col=id_col, seed=43).select(F.col(id_col).alias("__id")).distinct().withColumn("__split", F.lit("valid"))

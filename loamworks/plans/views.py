@@ -13,9 +13,16 @@ NUMBERS = "const table = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12];\n\n\n"
 PREFIXES = (LICENCE, KEY, HEADER, REPEATED, NUMBERS, "")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A few files with large row groups would keep most cores idle; their rows are dealt out. With as many files as
+    cores the scan's own partitions stand, and nothing is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def docs(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     """doc_id, id, project_name, path, text"""
-    d = spark.read.parquet(f"{sf}/documents.parquet")
+    d = spread(spark.read.parquet(f"{sf}/documents.parquet"))
     path = F.concat("source", F.lit("/"), "lang", F.lit("/doc_"), F.col("doc_id").cast("string"), F.lit(".ets"))
     return d.select("doc_id", F.col("doc_id").cast("string").alias("id"), F.col("source").alias("project_name"), path.alias("path"), "text", *more)
 
