@@ -46,8 +46,8 @@ def _kind(word: Column, before: Column) -> Column:
 
 
 def _with_windows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, raw, windows: the hash of each run of five canonical words."""
-    raw = df.select(*keys, raw_words(F.col("text")).alias("raw")).where(F.size("raw") >= WORDS)
+    """keys, raw, canon, windows: the hash of each run of five canonical words of ``raw``."""
+    raw = df.select(*keys, "raw").where(F.size("raw") >= WORDS)
     canon = F.transform("raw", lambda w, i: _kind(w, F.when(i > 0, F.get("raw", i - 1)).otherwise("")))
     held = raw.select(*keys, "raw", F.explode(F.array(canon)).alias("canon"))  # once, for all that read it
     windows = F.transform(F.sequence(F.lit(0), F.size("canon") - WORDS), lambda i: F.xxhash64(*[F.get("canon", i + k) for k in range(WORDS)]))
@@ -55,15 +55,19 @@ def _with_windows(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """window, item_id, item_at, coverable: a row for each window with enough literals; coverable counts the item's
-    words that such windows hold."""
-    items = _with_windows(benchmark.select(benchmark[id_col].alias("item_id"), benchmark[text_col].alias("text")), ["item_id"])
+    """window, item_id, form, item_at, coverable: a row for each window with enough literals; coverable counts the
+    item's words that such windows hold. An item with names has a second form without them, as a text in small or in
+    large letters only shows no names."""
+    named = benchmark.select(benchmark[id_col].alias("item_id"), raw_words(benchmark[text_col]).alias("raw"))
+    plain = named.where(F.exists("raw", lambda w: w.startswith("~"))).withColumn("raw", F.transform("raw", lambda w: F.regexp_replace(w, "^~", "")))
+    items = _with_windows(named.withColumn("form", F.lit(0)).unionByName(plain.withColumn("form", F.lit(1))), ["item_id", "form"])
     literal = lambda i: sum((~F.get("canon", i + k).isin("@", "#", "&")).cast("int") for k in range(WORDS)) >= LITERALS
     usable = F.filter(F.sequence(F.lit(0), F.size("windows") - 1), literal)
-    rows = items.select("item_id", "raw", "canon", "windows", usable.alias("usable")).withColumn("coverable", _covered(F.col("usable")))
-    return rows.select("item_id", "coverable", "raw", "canon", "windows", F.explode("usable").alias("item_at")).select(
+    rows = items.select("item_id", "form", "raw", "canon", "windows", usable.alias("usable")).withColumn("coverable", _covered(F.col("usable")))
+    return rows.select("item_id", "form", "coverable", "raw", "canon", "windows", F.explode("usable").alias("item_at")).select(
         F.get("windows", F.col("item_at")).alias("window"),
         "item_id",
+        "form",
         "item_at",
         "coverable",
         F.slice("raw", F.col("item_at") + 1, WORDS).alias("item_raw"),
@@ -88,23 +92,24 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     items = benchmark_windows(benchmark, item_col, item_text_col)
     if items.count() <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
-    source = _with_windows(docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), docs[text_col].alias("text")), ["doc_id", "text_key"])
+    source = _with_windows(docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), raw_words(docs[text_col]).alias("raw")), ["doc_id", "text_key"])
     exploded = source.select("doc_id", "text_key", "raw", F.posexplode("windows").alias("at", "window"))
     pair = lambda k: F.struct(F.get("item_raw", F.lit(k)).alias("item"), F.get("raw", F.col("at") + k).alias("doc"))
     slots = F.filter(F.array(*[F.when(F.get("item_canon", F.lit(k)).isin("@", "#", "&"), pair(k)) for k in range(WORDS)]), lambda p: p.isNotNull())
-    hits = exploded.join(items, "window").select("doc_id", "text_key", "item_id", "coverable", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), slots.alias("slots"))
+    hits = exploded.join(items, "window").select("doc_id", "text_key", "item_id", "form", "coverable", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), slots.alias("slots"))
     # All windows of a text are in one task, so these combine before the shuffle; sets are bounded by the item.
-    lined = hits.groupBy("doc_id", "text_key", "item_id", "coverable", "shift").agg(F.collect_set("item_at").alias("starts"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    whole = lined.groupBy("doc_id", "text_key", "item_id", "coverable").agg(
+    lined = hits.groupBy("doc_id", "text_key", "item_id", "form", "coverable", "shift").agg(F.collect_set("item_at").alias("starts"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    whole = lined.groupBy("doc_id", "text_key", "item_id", "form", "coverable").agg(
         F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"),
         F.max_by("slots", F.struct(F.size("starts"), -F.col("shift"))).alias("slots"),
     )
     filled = F.array_distinct(F.transform("slots", lambda p: p["item"]))
-    return (
+    found = (
         whole.withColumn("coverage", _covered(F.col("starts")) / F.col("coverable"))
         .where((F.col("coverage") >= coverage) & (F.size(filled) == F.size("slots")))
-        .select("doc_id", "text_key", "item_id", "coverage", F.size("slots").cast("long").alias("n_slots"), F.exists("slots", lambda p: p["item"] != p["doc"]).alias("reparameterised"))
+        .select("doc_id", "text_key", "item_id", F.struct("coverage", (-F.col("form")).alias("form"), F.size("slots").cast("long").alias("n_slots"), F.exists("slots", lambda p: p["item"] != p["doc"]).alias("reparameterised")).alias("b"))
     )
+    return found.groupBy("doc_id", "text_key", "item_id").agg(F.max("b").alias("b")).select("doc_id", "text_key", "item_id", "b.coverage", "b.n_slots", "b.reparameterised")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

@@ -192,12 +192,12 @@ ITEM = "A train leaves Boston at 9 and runs 60 km each hour while Alice walks 5
 def test_reparameterised_questions(spark):
     other = ITEM.replace("Boston", "Paris").replace("9", "11").replace("60", "75").replace("Alice", "Maria").replace("walks 5", "walks 8")
     mixed = ITEM.replace("60 km", "75 km")  # one value of the item becomes two
-    rows = [(1, "Words ahead. " + ITEM), (2, "Words ahead. " + other + " More."), (3, mixed), (4, ITEM[:60]), (5, None), (6, ""), (7, ITEM.upper()), (1, "Words ahead. " + ITEM), (None, ITEM), (8, "nothing of the sort at all in here")]
+    rows = [(1, "Words ahead. " + ITEM), (2, "Words ahead. " + other + " More."), (3, mixed), (4, ITEM[:60]), (5, None), (6, ""), (7, ITEM.upper()), (9, ITEM.lower()), (1, "Words ahead. " + ITEM), (None, ITEM), (8, "nothing of the sort at all in here")]
     bench = spark.createDataFrame([(10, ITEM, 1), (11, None, 2), (12, "too short", 3)], "item_id long, text string, window int")
     got = {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in decontaminate.matches(docs(spark, rows), bench).collect()}
-    assert got == {(1, 10): False, (2, 10): True, (None, 10): False}
+    assert got == {(1, 10): False, (2, 10): True, (7, 10): False, (9, 10): False, (None, 10): False}
     kept = decontaminate.decontaminated(docs(spark, rows), bench)
-    assert kept.columns == docs(spark, []).columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6, 7, 8]
+    assert kept.columns == docs(spark, []).columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6, 8]
     assert decontaminate.matches(docs(spark, []), bench).count() == 0
     assert decontaminate.matches(docs(spark, rows), bench.limit(0)).count() == 0
 
