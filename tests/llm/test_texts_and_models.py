@@ -90,10 +90,10 @@ def test_encoding_is_lossless_and_reproducible(spark, vocabulary, monkeypatch):
     assert all(np.array_equal(a, b) for a, b in zip(whole, sampler.encode(odd[4:], np.arange(7, dtype=np.uint64))))
 
 
-@pytest.mark.parametrize("frequent", [200_000, 3])
-def test_language_model(spark, vocabulary, frequent):
+@pytest.mark.parametrize(("frequent", "kinds"), [(200_000, 0), (3, 0), (200_000, 3), (3, 3)])
+def test_language_model(spark, vocabulary, frequent, kinds):
     rows = [(i, f"The cat {'Sat' * (i % 3)} on  é\x1cx\t{i}") for i in range(30)] + [(3, "again again")] * 2 + [(None, None), (50, "")]
-    out = lattice_lm.score_documents(docs(spark, rows), crc_mod("doc_id", 7) != 2, vocabulary, frequent=frequent, rounds=0).collect()
+    out = lattice_lm.score_documents(docs(spark, rows), crc_mod("doc_id", 7) != 2, vocabulary, frequent=frequent, rounds=0, kinds=kinds).collect()
     trains = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2
     counts = Counter(w for i, t in rows if trains(i) for w in [*lattice_lm.tokens(t), b""])
     n, v = sum(counts.values()), len(counts)
@@ -102,13 +102,33 @@ def test_language_model(spark, vocabulary, frequent):
     start[vocabulary.end_id] = 0
     with np.errstate(divide="ignore"):
         lattice = Lattice(replace(vocabulary, log_weight=np.log(start / start.sum())))
+    table = docs(spark, rows)
+    train = crc_mod("doc_id", 7) != 2
+    centres = lattice_lm.text_kinds(table, train, "doc_id", table["text"], kinds) if kinds else None
+    within: dict[int, list] = {}  # a kind's texts
+    for i, t in rows:
+        if kinds and trains(i):
+            pairs = lattice_lm.letter_pairs(t)
+            within.setdefault(min(range(len(centres)), key=lambda k: (round(float(((pairs - centres[k]) ** 2).sum()), 12), k)), []).append([*lattice_lm.tokens(t), b""])
+
+    def chance(ws, words):
+        """log10 of the mixture over the kinds, word by word."""
+        if not kinds:
+            return sum(map(math.log10, words))
+        total = 0.0
+        for texts in within.values():
+            c = Counter(w for t in texts for w in t)
+            m, d = sum(c.values()), len(c)
+            total += len(texts) / sum(map(len, within.values())) * math.prod((c[w] + d * p) / (m + d) for w, p in zip(ws, words))
+        return math.log10(total)
+
     assert len(out) == len(rows)
     got = Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 5)) for r in out)
     want = Counter()
     for i, t in rows:
         ws = [*lattice_lm.tokens(t), b""]
         pieces = [math.exp(lattice.log_marginal([f" {w.decode()}"])[0]) if w else math.exp(vocabulary.log_weight[vocabulary.end_id]) for w in ws]
-        want[(i, len(ws), sum(counts[w] > 0 for w in ws), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), 6), round(sum(math.log10(share * counts[w] / n + (1 - share) * p) for w, p in zip(ws, pieces)), 5))] += 1
+        want[(i, len(ws), sum(counts[w] > 0 for w in ws), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), 6), round(chance(ws, [share * counts[w] / n + (1 - share) * p for w, p in zip(ws, pieces)]), 5))] += 1
     assert got == want
     assert lattice_lm.score_documents(docs(spark, []), crc_mod("doc_id", 7) != 2, vocabulary).count() == 0
 
@@ -116,7 +136,18 @@ def test_language_model(spark, vocabulary, frequent):
 def test_fitted_weights_explain_unseen_words_better(spark, vocabulary):
     table = spark.read.parquet(f"{TINY}/documents.parquet")
     held = lambda **k: lattice_lm.score_documents(table, crc_mod("doc_id", 7) != 2, vocabulary, **k).where("not trains").agg(F.sum("score")).first()[0]
-    assert held() > held(rounds=0)
+    assert held(kinds=0) > held(rounds=0, kinds=0)
+    assert held() > held(kinds=0)
+
+
+def test_kinds_of_text_are_told_apart(spark):
+    rows = [(i, ("the cat sat on the mat " if i % 2 else "der Hund lief zum Haus ") * (i % 5 + 1)) for i in range(40)]
+    table = docs(spark, [*rows, (None, None), (90, ""), (91, "x")])
+    centres = lattice_lm.text_kinds(table, F.lit(True), "doc_id", table["text"], 8)
+    own = lattice_lm.nearest(np.array([lattice_lm.letter_pairs(t) for _, t in rows]), centres)
+    assert not set(own[::2]) & set(own[1::2])
+    assert np.allclose(lattice_lm.letter_pairs("ab" * 2_000_000) ** 2 @ np.ones(lattice_lm.CELLS), 1)
+    assert lattice_lm.text_kinds(table, F.lit(False), "doc_id", table["text"], 8).shape == (1, lattice_lm.CELLS)
 
 
 def accuracy(out, labels, label):
