@@ -3,7 +3,9 @@
 Texts and benchmark items are brought to a canonical form in which numbers, names and units are typed placeholders.
 Windows of five canonical words are hashed and joined; an item of whose words the matched windows cover 0.8 or more is
 found in the text, if its slots are filled consistently: wherever the item repeats a value, so does the text, each
-with its own. So a question with other numbers and names is caught, and a chance mixture of its windows is not.
+with its own. So a question with other numbers and names is caught, and a chance mixture of its windows is not. Capitals
+in mid-sentence are names; at the start of a sentence they may be, so texts and items are also read with all capitalised
+words as names, and with none.
 """
 
 from __future__ import annotations
@@ -33,39 +35,70 @@ UNITS = (
 
 
 def raw_words(text: Column) -> Column:
-    """Words in lower case, digits with their separators as one word, names (capitals in mid-sentence) marked by ``~``."""
+    """Words in lower case, digits with their separators as one word. Capitalised words are marked: by ``~`` in
+    mid-sentence, where they are names, and by ``~~`` at the start of a sentence or line, where they may be."""
     joined = F.regexp_replace(F.coalesce(text, F.lit("")), r"[.,](?<=\d.)(?=\d)", "")
-    marked = F.regexp_replace(F.regexp_replace(joined, "~", " "), r"(?=\p{Lu}\p{Ll})(?<=[\p{Ll}\p{N},;:] )", "~")
+    capitals = F.regexp_replace(F.regexp_replace(joined, "~", " "), r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}])", "~~")
+    marked = F.regexp_replace(capitals, r"~~(?<=[\p{Ll}\p{N},;:] ~~)", "~")
     return F.filter(F.split(F.lower(marked), r"[^\p{L}\p{N}~]+"), lambda w: (w != "") & (w != "~"))
 
 
+def _bare(word: Column) -> Column:
+    return F.ltrim(word, F.lit("~"))
+
+
 def _kind(word: Column, before: Column) -> Column:
     """The canonical word: ``#`` a number, ``&`` a unit after one, ``@`` a name, or the word."""
     digit = lambda w: w.substr(1, 1).between("0", "9")
-    return F.when(word.startswith("~"), "@").when(digit(word), "#").when(word.isin(UNITS) & digit(before), "&").otherwise(word)
+    return F.when(word.startswith("~"), "@").when(digit(word), "#").when(digit(before) & word.isin(UNITS), "&").otherwise(word)
+
+
+def _canon(raw: str) -> Column:
+    return F.transform(raw, lambda w, i: _kind(w, F.when(i > 0, F.get(raw, i - 1)).otherwise("")))
+
+
+def _window(words: str, i: Column) -> Column:
+    return F.xxhash64(*[F.get(words, i + k) for k in range(WORDS)])
+
+
+def _text_windows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, raw, at, window: the hash of each run of five canonical words of ``raw``, and where they differ also those
+    with every capitalised word as a name and those with none."""
+    once = lambda c: F.explode(F.array(c))  # for all that read it
+    held = df.select(*keys, once(F.struct(F.col("raw").alias("marked"), F.transform("raw", _bare).alias("raw"))).alias("h")).select(*keys, "h.*").where(F.size("raw") >= WORDS)
+    held = held.select(*keys, "marked", "raw", once(F.transform(_canon("raw"), lambda w: F.xxhash64(w))).alias("none"))
+    name = F.xxhash64(F.lit("@"))
+    some = F.transform("marked", lambda w, i: F.when(w.startswith("~") & ~w.startswith("~~"), name).otherwise(F.get("none", i)))
+    every = F.transform("marked", lambda w, i: F.when(w.startswith("~"), name).otherwise(F.get("none", i)))
+    held = held.select(*keys, "raw", "none", once(F.struct(some.alias("some"), every.alias("every"))).alias("f")).select(*keys, "raw", "none", "f.*")
+    last = F.size("none") - WORDS
 
+    def differ(form: str) -> Column:
+        """The starts of windows that hold a word in which ``form`` differs from ``some``."""
+        places = F.filter(F.transform(form, lambda h, i: F.when(h != F.get("some", i), i)), lambda i: i.isNotNull())
+        return F.array_distinct(F.flatten(F.transform(places, lambda i: F.sequence(F.greatest(i - WORDS + 1, F.lit(0)), F.least(i, last)))))
 
-def _with_windows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, raw, canon, windows: the hash of each run of five canonical words of ``raw``."""
-    raw = df.select(*keys, "raw").where(F.size("raw") >= WORDS)
-    canon = F.transform("raw", lambda w, i: _kind(w, F.when(i > 0, F.get("raw", i - 1)).otherwise("")))
-    held = raw.select(*keys, "raw", F.explode(F.array(canon)).alias("canon"))  # once, for all that read it
-    windows = F.transform(F.sequence(F.lit(0), F.size("canon") - WORDS), lambda i: F.xxhash64(*[F.get("canon", i + k) for k in range(WORDS)]))
-    return held.select(*keys, "raw", "canon", windows.alias("windows"))
+    of = lambda form, at: F.transform(at, lambda i: F.struct(i.alias("at"), _window(form, i).alias("window")))
+    windows = F.concat(of("some", F.sequence(F.lit(0), last)), of("every", differ("every")), of("none", differ("none")))
+    # made once as well: of what inline() reads itself, Spark also makes a filter
+    return held.select(*keys, "raw", once(windows).alias("windows")).select(*keys, "raw", F.inline("windows"))
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """window, item_id, form, item_at, coverable: a row for each window with enough literals; coverable counts the
     item's words that such windows hold. An item with names has a second form without them, as a text in small or in
-    large letters only shows no names."""
-    named = benchmark.select(benchmark[id_col].alias("item_id"), raw_words(benchmark[text_col]).alias("raw"))
-    plain = named.where(F.exists("raw", lambda w: w.startswith("~"))).withColumn("raw", F.transform("raw", lambda w: F.regexp_replace(w, "^~", "")))
-    items = _with_windows(named.withColumn("form", F.lit(0)).unionByName(plain.withColumn("form", F.lit(1))), ["item_id", "form"])
+    large letters only shows no names; one with capitals at the start of a sentence has a third in which they are names."""
+    found = benchmark.select(benchmark[id_col].alias("item_id"), raw_words(benchmark[text_col]).alias("raw")).where(F.size("raw") >= WORDS)
+    marked = lambda mark: F.exists("raw", lambda w: w.startswith(mark))
+    as_form = lambda df, n, change: df.select("item_id", F.transform("raw", change).alias("raw"), F.lit(n).alias("form"))
+    items = as_form(found, 0, lambda w: F.regexp_replace(w, "^~~", "")).unionByName(as_form(found.where(marked("~")), 1, _bare)).unionByName(as_form(found.where(marked("~~")), 2, lambda w: F.regexp_replace(w, "^~~", "~")))
+    items = items.select("item_id", "form", "raw", F.explode(F.array(_canon("raw"))).alias("canon"))
+    items = items.withColumn("hashes", F.transform("canon", lambda w: F.xxhash64(w)))
     literal = lambda i: sum((~F.get("canon", i + k).isin("@", "#", "&")).cast("int") for k in range(WORDS)) >= LITERALS
-    usable = F.filter(F.sequence(F.lit(0), F.size("windows") - 1), literal)
-    rows = items.select("item_id", "form", "raw", "canon", "windows", usable.alias("usable")).withColumn("coverable", _covered(F.col("usable")))
-    return rows.select("item_id", "form", "coverable", "raw", "canon", "windows", F.explode("usable").alias("item_at")).select(
-        F.get("windows", F.col("item_at")).alias("window"),
+    usable = F.filter(F.sequence(F.lit(0), F.size("canon") - WORDS), literal)
+    rows = items.select("item_id", "form", F.transform("raw", _bare).alias("raw"), "canon", "hashes", usable.alias("usable")).withColumn("coverable", _covered(F.col("usable")))
+    return rows.select("item_id", "form", "coverable", "raw", "canon", "hashes", F.explode("usable").alias("item_at")).select(
+        _window("hashes", F.col("item_at")).alias("window"),
         "item_id",
         "form",
         "item_at",
@@ -92,8 +125,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     items = benchmark_windows(benchmark, item_col, item_text_col)
     if items.count() <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
-    source = _with_windows(docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), raw_words(docs[text_col]).alias("raw")), ["doc_id", "text_key"])
-    exploded = source.select("doc_id", "text_key", "raw", F.posexplode("windows").alias("at", "window"))
+    exploded = _text_windows(docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), raw_words(docs[text_col]).alias("raw")), ["doc_id", "text_key"])
     pair = lambda k: F.struct(F.get("item_raw", F.lit(k)).alias("item"), F.get("raw", F.col("at") + k).alias("doc"))
     slots = F.filter(F.array(*[F.when(F.get("item_canon", F.lit(k)).isin("@", "#", "&"), pair(k)) for k in range(WORDS)]), lambda p: p.isNotNull())
     hits = exploded.join(items, "window").select("doc_id", "text_key", "item_id", "form", "coverable", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), slots.alias("slots"))

@@ -233,6 +233,17 @@ def test_reparameterised_questions(spark):
     assert decontaminate.matches(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_names_that_open_sentences(spark):
+    item = "Tom has 3 apples. Tom buys 4 more at the market. Tom eats 2 of them. How many apples does Tom have left?"
+    other = item.replace("Tom", "Anna").replace("3", "7").replace("4", "9").replace("2", "5")
+    torn = other.replace("Anna eats", "Maria eats")  # one name of the item becomes two
+    rows = [(1, other), (2, "Question: " + other), (3, item), (4, item.title()), (5, other.replace("Anna has", "anna has")), (6, torn), (7, "Anna has a market. How many apples are left?")]
+    bench = spark.createDataFrame([(10, item)], "item_id long, text string")
+    got = {r["doc_id"]: (r["coverage"], r["reparameterised"]) for r in decontaminate.matches(docs(spark, rows), bench).collect()}
+    assert got.keys() == {1, 2, 3, 4, 5} and [got[i] for i in (1, 2, 3, 4)] == [(1.0, True), (1.0, True), (1.0, False), (1.0, False)]
+    assert [r["doc_id"] for r in decontaminate.decontaminated(docs(spark, rows), bench).orderBy("doc_id").collect()] == [6, 7]
+
+
 def test_decontamination_equals_plain_search(spark):
     table, bench = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     items = bench.collect()
