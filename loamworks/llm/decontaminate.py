@@ -5,7 +5,7 @@ Windows of five canonical words are hashed and joined; an item of whose words th
 found in the text, if its slots are filled consistently: wherever the item repeats a value, so does the text, each
 with its own. So a question with other numbers and names is caught, and a chance mixture of its windows is not. Capitals
 in mid-sentence are names; at the start of a sentence they may be, so texts and items are also read with all capitalised
-words as names, and with none.
+words as names, and with none. The queries also take near verbatim copies, whose unchanged windows alone cover 0.8.
 """
 
 from __future__ import annotations
@@ -115,12 +115,13 @@ def _covered(starts: Column) -> Column:
     return gaps["n"]
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE, near_verbatim: bool = False) -> DataFrame:
     """doc_id, text_key, item_id, coverage, n_slots, reparameterised: a row for each text and each item found in it.
 
     text_key is the text's hash: repeated rows (same id, same text) give one row. Items repeated under other ids are
     other items. Null and empty texts and items, and items of under five words, match nothing; null ids are kept. An
-    empty table on either side gives no rows. Other columns are not read.
+    empty table on either side gives no rows. Other columns are not read. With ``near_verbatim``, an item whose windows
+    the text holds word for word up to ``coverage`` is found however the other slots are filled.
     """
     items = benchmark_windows(benchmark, item_col, item_text_col)
     if items.count() <= BROADCAST_WINDOWS:
@@ -129,29 +130,34 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     pair = lambda k: F.struct(F.get("item_raw", F.lit(k)).alias("item"), F.get("raw", F.col("at") + k).alias("doc"))
     slots = F.filter(F.array(*[F.when(F.get("item_canon", F.lit(k)).isin("@", "#", "&"), pair(k)) for k in range(WORDS)]), lambda p: p.isNotNull())
     hits = exploded.join(items, "window").select("doc_id", "text_key", "item_id", "form", "coverable", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), slots.alias("slots"))
+    changed = lambda c: F.exists(c, lambda p: p["item"] != p["doc"])
     # All windows of a text are in one task, so these combine before the shuffle; sets are bounded by the item.
-    lined = hits.groupBy("doc_id", "text_key", "item_id", "form", "coverable", "shift").agg(F.collect_set("item_at").alias("starts"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    lined = hits.groupBy("doc_id", "text_key", "item_id", "form", "coverable", "shift").agg(F.collect_set("item_at").alias("starts"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"), F.collect_set(F.when(~changed("slots"), F.col("item_at"))).alias("same"))
     whole = lined.groupBy("doc_id", "text_key", "item_id", "form", "coverable").agg(
         F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"),
+        F.array_distinct(F.flatten(F.collect_list("same"))).alias("same"),
         F.max_by("slots", F.struct(F.size("starts"), -F.col("shift"))).alias("slots"),
     )
     filled = F.array_distinct(F.transform("slots", lambda p: p["item"]))
+    accepted = F.size(filled) == F.size("slots")
+    if near_verbatim:
+        accepted = accepted | (_covered(F.col("same")) / F.col("coverable") >= coverage)
     found = (
         whole.withColumn("coverage", _covered(F.col("starts")) / F.col("coverable"))
-        .where((F.col("coverage") >= coverage) & (F.size(filled) == F.size("slots")))
-        .select("doc_id", "text_key", "item_id", F.struct("coverage", (-F.col("form")).alias("form"), F.size("slots").cast("long").alias("n_slots"), F.exists("slots", lambda p: p["item"] != p["doc"]).alias("reparameterised")).alias("b"))
+        .where((F.col("coverage") >= coverage) & accepted)
+        .select("doc_id", "text_key", "item_id", F.struct("coverage", (-F.col("form")).alias("form"), F.size("slots").cast("long").alias("n_slots"), changed("slots").alias("reparameterised")).alias("b"))
     )
     return found.groupBy("doc_id", "text_key", "item_id").agg(F.max("b").alias("b")).select("doc_id", "text_key", "item_id", "b.coverage", "b.n_slots", "b.reparameterised")
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", near_verbatim: bool = False) -> DataFrame:
     """The rows, with all their columns, whose texts hold no benchmark item. Null and empty texts stay."""
-    bad = written(matches(docs, benchmark, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col).select(F.col("text_key").alias("__text_key")).distinct(), "leaked")
+    bad = written(matches(docs, benchmark, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col, near_verbatim=near_verbatim).select(F.col("text_key").alias("__text_key")).distinct(), "leaked")
     if bad.count() <= BROADCAST_TEXTS:
         bad = F.broadcast(bad)
     return docs.join(bad, F.xxhash64(docs[text_col]) == bad["__text_key"], "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = matches(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = matches(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), near_verbatim=True)
     return found.select("doc_id", "item_id", F.round("coverage", 6).alias("coverage"), "n_slots", "reparameterised")

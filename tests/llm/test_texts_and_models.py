@@ -244,6 +244,16 @@ def test_names_that_open_sentences(spark):
     assert [r["doc_id"] for r in decontaminate.decontaminated(docs(spark, rows), bench).orderBy("doc_id").collect()] == [6, 7]
 
 
+def test_near_verbatim_items(spark, tmp_path):
+    mixed = ITEM.replace("60 km", "75 km")
+    torn = ITEM.replace("60 km", "75 km").replace("while Alice", "while Maria").replace("5 km", "8 km").replace("the old", "an old")
+    rows = [(1, mixed), (2, "Ahead. " + mixed + " More."), (3, torn), (4, "nothing of the sort at all in here")]
+    docs(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(10, ITEM)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.query(spark, str(tmp_path)).collect()} == {(1, 10), (2, 10)}
+    assert sorted(r["doc_id"] for r in corpus_pipeline.decontamination(spark, docs(spark, rows), str(tmp_path)).collect()) == [3, 4]
+
+
 def test_decontamination_equals_plain_search(spark):
     table, bench = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     items = bench.collect()
