@@ -115,13 +115,36 @@ def _covered(starts: Column) -> Column:
     return gaps["n"]
 
 
+def _short_matches(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame | None:
+    """doc_id, text_key, item_id: texts that hold an item of at most ``WORDS`` words, word for word; None without such items."""
+    whole = lambda words: F.xxhash64(F.array_join(words, " "))
+    bare = lambda text: F.transform(raw_words(text), _bare)
+    items = benchmark.select(benchmark[item_col].alias("item_id"), bare(benchmark[item_text_col]).alias("w")).where(F.size("w").between(1, WORDS))
+    lengths = {r["n"]: r["count"] for r in items.groupBy(F.size("w").alias("n")).count().collect()}  # at most WORDS rows
+    if not lengths:
+        return None
+    items = items.select("item_id", F.size("w").alias("n"), whole(F.col("w")).alias("key"))
+    if sum(lengths.values()) <= BROADCAST_WINDOWS:
+        items = F.broadcast(items)
+    texts = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), F.explode(F.array(bare(docs[text_col]))).alias("raw"))
+
+    def run(n: int) -> Column:
+        starts = F.when(F.size("raw") >= n, F.sequence(F.lit(0), F.size("raw") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(F.lit(n).alias("n"), whole(F.slice("raw", i + 1, n)).alias("key")))
+
+    runs = [run(n) for n in sorted(lengths)]
+    keyed = texts.select("doc_id", "text_key", F.explode(F.array(F.array_distinct(F.concat(*runs)))).alias("runs")).select("doc_id", "text_key", F.inline("runs"))
+    return keyed.join(items, ["n", "key"]).select("doc_id", "text_key", "item_id")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", coverage: float = COVERAGE, near_verbatim: bool = False) -> DataFrame:
     """doc_id, text_key, item_id, coverage, n_slots, reparameterised: a row for each text and each item found in it.
 
     text_key is the text's hash: repeated rows (same id, same text) give one row. Items repeated under other ids are
-    other items. Null and empty texts and items, and items of under five words, match nothing; null ids are kept. An
-    empty table on either side gives no rows. Other columns are not read. With ``near_verbatim``, an item whose windows
-    the text holds word for word up to ``coverage`` is found however the other slots are filled.
+    other items. Null and empty texts and items match nothing; null ids are kept. Items of up to five words are also
+    found by their whole word sequence, so an item of one common word is found in every text with that word. An empty
+    table on either side gives no rows. Other columns are not read. With ``near_verbatim``, an item whose windows the
+    text holds word for word up to ``coverage`` is found however the other slots are filled.
     """
     items = benchmark_windows(benchmark, item_col, item_text_col)
     if items.count() <= BROADCAST_WINDOWS:
@@ -147,6 +170,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
         .where((F.col("coverage") >= coverage) & accepted)
         .select("doc_id", "text_key", "item_id", F.struct("coverage", (-F.col("form")).alias("form"), F.size("slots").cast("long").alias("n_slots"), changed("slots").alias("reparameterised")).alias("b"))
     )
+    short = _short_matches(docs, benchmark, id_col, text_col, item_col, item_text_col)
+    if short is not None:
+        b = F.struct(F.lit(1.0).alias("coverage"), F.lit(-3).alias("form"), F.lit(0).cast("long").alias("n_slots"), F.lit(False).alias("reparameterised"))
+        found = found.unionByName(short.select("doc_id", "text_key", "item_id", b.alias("b")))
     return found.groupBy("doc_id", "text_key", "item_id").agg(F.max("b").alias("b")).select("doc_id", "text_key", "item_id", "b.coverage", "b.n_slots", "b.reparameterised")
 
 

@@ -254,6 +254,13 @@ def test_near_verbatim_items(spark, tmp_path):
     assert sorted(r["doc_id"] for r in corpus_pipeline.decontamination(spark, docs(spark, rows), str(tmp_path)).collect()) == [3, 4]
 
 
+def test_short_items(spark):
+    bench = spark.createDataFrame([(1, "Who wrote Faust?"), (2, "What has four sharp legs"), (3, "Bob met Ann and Tom"), (4, None), (5, "?")], "item_id long, text string")
+    rows = [(1, "Question: who wrote Faust?"), (2, "Question: What has four sharp legs?"), (3, "see What has four sharp legs"), (4, "Yes. Bob met Ann and Tom."), (5, "Who wrote it"), (6, "Faust"), (7, None), (8, "")]
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in decontaminate.matches(docs(spark, rows), bench).collect()}
+    assert got == {(1, 1): 1.0, (2, 2): 1.0, (3, 2): 1.0, (4, 3): 1.0}
+
+
 def test_decontamination_equals_plain_search(spark):
     table, bench = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "benchmark"))
     items = bench.collect()
