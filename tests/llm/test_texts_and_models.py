@@ -150,6 +150,17 @@ def test_kinds_of_text_are_told_apart(spark):
     assert lattice_lm.text_kinds(table, F.lit(False), "doc_id", table["text"], 8).shape == (1, lattice_lm.CELLS)
 
 
+def test_kinds_come_from_all_training_texts(spark):
+    texts = [f"{w} {i} {w[::-1]}" for i in range(1500) for w in ("the cat", "der Hund", "le chien")] + ["same again"] * 2500
+    table = docs(spark, enumerate(texts)).repartition(5)
+    (centre,) = lattice_lm.text_kinds(table, F.lit(True), "doc_id", table["text"], 1)
+    assert np.allclose(centre, np.mean([lattice_lm.letter_pairs(t) for t in texts], axis=0), rtol=0, atol=1e-5)
+    centres = lattice_lm.text_kinds(table, F.lit(True), "doc_id", table["text"], 16)
+    assert len(np.unique(centres, axis=0)) == 16
+    again = table.repartition(3)
+    assert np.array_equal(centres, lattice_lm.text_kinds(again, F.lit(True), "doc_id", again["text"], 16))
+
+
 def accuracy(out, labels, label):
     j = out.join(labels, "doc_id").where("held_out")
     rows = j.select("predicted", label, "score").collect()
