@@ -1,4 +1,4 @@
-"""Embedding near-duplicates by randomly rotated binary codes with stored correction factors.
+"""Embedding near-duplicates by randomly rotated binary codes with correction factors, recomputed in each bucket.
 
 A unit vector o is rotated at random and kept as its signs, with f = <signs/sqrt(d), o>. For another unit vector q,
 <signs/sqrt(d), q> / f estimates <o, q> without bias; its error is below SIGMAS * sqrt((1 - f^2) / (f^2 (d - 1))) but
