@@ -3,15 +3,26 @@
 A unit is a run of text that no piece crosses. ``walk`` finds every piece at every position of all units by stepping a
 trie in lockstep; ``forward`` sums all segmentations in log space, position by position for all units together.
 Characters without a piece of their own become their UTF-8 bytes.
+
+Memory is bounded by characters: callers pass at most ``CHUNK_CHARS`` of short units at once, and a unit beyond
+``LONG_UNIT`` goes segment by segment. A segment needs of what lies before it only the sums at the last positions that a
+piece can reach back to; its blocks' transfers between such states are found side by side and then chained.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 _CP = 21  # bits of a code point
+#: Characters of units that are taken together.
+CHUNK_CHARS = 200_000
+#: Longer units are taken in segments, whose blocks are worked on side by side.
+LONG_UNIT = 1_024
+SEGMENT = 1 << 17
+BLOCK = 256
 
 
 @dataclass
@@ -73,6 +84,7 @@ class Lattice:
         self.keys = np.array(sorted(next_node), np.int64)
         self.nodes = np.array([next_node[k] for k in self.keys.tolist()], np.int64)
         self.piece_of = np.array(piece_of, np.int64)
+        self.reach = max((len(p) for p in vocabulary.pieces if p), default=1)  # characters of the longest piece
         self.first = np.full(1 << _CP, -1, np.int32)
         top = self.keys < 1 << _CP
         self.first[self.keys[top]] = self.nodes[top]
@@ -114,22 +126,20 @@ class Lattice:
         character's bytes."""
         lay = Layout(units)
         cps, after = lay.cps, lay.after
+        piece = np.full((min(self.reach, max(1, int(lay.size.max(initial=0)))), len(cps)), -1, np.int32)
         node = self.first[cps].astype(np.int64)
         found = np.where(node >= 0, self.piece_of[node], -1)
-        rows = [np.where(found < 0, -2, found).astype(np.int32)]
+        piece[0] = np.where(found < 0, -2, found)
         at = np.flatnonzero((node >= 0) & (after >= 0))
         node, char = node[at], after[at]
-        while len(at):
+        for row in piece[1:]:
             node = self._step(node << _CP | cps[char])
             ok = node >= 0
-            at, node, char = at[ok], node[ok], char[ok]
-            row = np.full(len(cps), -1, np.int32)
+            at, node, char = at[ok], node[ok], after[char[ok]]
             row[at] = self.piece_of[node]
-            rows.append(row)
-            char = after[char]
             ok = char >= 0
             at, node, char = at[ok], node[ok], char[ok]
-        return lay, np.stack(rows)
+        return lay, piece
 
     def byte_weight(self, cps: np.ndarray) -> np.ndarray:
         """Of characters that become bytes; all bytes weigh the same."""
@@ -173,52 +183,126 @@ class Lattice:
             alpha[here] = top + np.log(total)
         return lay, piece, alpha, cdf
 
-    def expected(self, units: list[str], count: np.ndarray) -> np.ndarray:
-        """How often each piece is expected over all segmentations of the (non-empty) units, each taken ``count`` times."""
-        lay, piece, alpha, _ = self.forward(units)
-        table = np.append(self.vocabulary.log_weight, -np.inf)
-        off = lay.level_start.tolist()
-        beta = np.zeros(len(lay.cps))
-        raw = self.byte_weight(lay.cps)
-        total = np.zeros(len(self.vocabulary.log_weight))
-        by_rank = np.argsort(lay.rank)
-        whole = alpha[lay.level_start[lay.size - 1] + lay.rank][by_rank]
-        times = count[by_rank]
-        for p in range(len(off) - 2, -1, -1):
-            m = off[p + 1] - off[p]
-            here = slice(off[p], off[p + 1])
-            reach = min(len(piece), len(off) - 1 - p)
-            terms = np.empty((reach, m))
-            for step in range(reach):
-                ids = piece[step, here]
-                terms[step] = table[ids]
-                if step == 0:
-                    terms[step] = np.where(ids == -2, raw[here], terms[step])
-                if (nxt := p + step + 1) < len(off) - 1:
-                    longer = off[nxt + 1] - off[nxt]
-                    terms[step, :longer] += beta[off[nxt] : off[nxt + 1]]
-            top = terms.max(0)
-            beta[here] = top + np.log(np.exp(terms - top).sum(0))
-            before = alpha[off[p - 1] : off[p - 1] + m] if p else 0.0
-            share = np.exp(terms + (before - whole[:m])) * times[:m]
-            for step in range(reach):
-                ids = piece[step, here]
-                some = np.flatnonzero(ids >= 0)
-                total += np.bincount(ids[some], share[step, some], len(total))
-            spelt = np.flatnonzero(piece[0, here] == -2)
-            for c, x in zip(lay.cps[off[p] + spelt].tolist(), share[0, spelt].tolist()):
-                total[self.vocabulary.byte_ids[list(chr(c).encode())]] += x
-        return total
-
     def log_marginal(self, units: list[str]) -> np.ndarray:
         """The log of each unit's summed weight over all its segmentations; 0 for an empty unit."""
         out = np.zeros(len(units))
-        some = [i for i, u in enumerate(units) if u]
-        if some:
-            lay, _, alpha, _ = self.forward([units[i] for i in some])
-            out[some] = alpha[lay.level_start[lay.size - 1] + lay.rank]
+        for part in chunks(units):
+            if len(units[part[0]]) > LONG_UNIT:
+                *_, last = self.states(units[part[0]])
+                out[part[0]] = last[0]
+                continue
+            lay, _, alpha, _ = self.forward([units[i] for i in part])
+            out[part] = alpha[lay.level_start[lay.size - 1] + lay.rank]
         return out
 
+    def arriving(self, unit: str, start: int, end: int, power: float) -> tuple[np.ndarray, np.ndarray]:
+        """(weight[l, j], piece[l, j]): of the piece of l+1 characters that ends right after character start + j."""
+        lead = min(start, self.reach - 1)
+        text = unit[start - lead : end]
+        lay, piece = self.walk([text])
+        weight = np.append(self.vocabulary.log_weight * power, -np.inf)[piece]
+        weight[0] = np.where(piece[0] == -2, self.byte_weight(lay.cps) * power, weight[0])
+        to, ids = np.full((self.reach, end - start), -np.inf), np.full((self.reach, end - start), -1, np.int32)
+        for step in range(len(piece)):
+            begin = max(0, step - lead)  # the first end that has such a start
+            to[step, begin:] = weight[step, begin + lead - step : len(text) - step]
+            ids[step, begin:] = piece[step, begin + lead - step : len(text) - step]
+        return to, ids
+
+    def states(self, unit: str, power: float = 1.0) -> Iterator[np.ndarray]:
+        """The state before each segment of a long unit, and at its end: the log sums of all segmentations up to the last
+        ``reach`` places, the nearest first."""
+        state = np.full(self.reach, -np.inf)
+        state[0] = 0.0
+        yield state
+        for start in range(0, len(unit), SEGMENT):
+            weight, _ = self.arriving(unit, start, min(start + SEGMENT, len(unit)), power)
+            state = _chained(weight, state)[-1]
+            yield state
+
+    def segment(self, unit: str, start: int, state: np.ndarray, power: float) -> tuple[np.ndarray, np.ndarray]:
+        """(piece[l, j], cdf[j, l]) of the segment of a long unit from ``start`` on, given the state before it: as
+        ``forward`` has them with ``chances``, but by the character that a piece ends with."""
+        weight, ids = self.arriving(unit, start, min(start + SEGMENT, len(unit)), power)
+        n = weight.shape[1]
+        before = _chained(weight, state)[: -(-n // BLOCK)]
+        blocks = _blocks(weight)  # [l, block, place]
+        cdf = np.ones((blocks.shape[1], BLOCK, self.reach), np.float32)
+        last = [before[:, k] for k in range(self.reach)]
+        for t in range(BLOCK):
+            terms = np.stack([x + w for x, w in zip(last, blocks[:, :, t])])
+            total = _log_sum(terms)
+            rest = np.exp(terms - np.where(np.isfinite(total), total, 0.0))[::-1].cumsum(0)[::-1]
+            cdf[:, t, :-1] = (1 - rest[1:] / np.where(rest[0] > 0, rest[0], 1.0)).T  # exactly 1 beyond the longest
+            last = [total, *last[:-1]]
+        return ids, cdf.reshape(-1, self.reach)[:n]
+
+
+def chunks(units: list[str]) -> Iterator[list[int]]:
+    """The numbers of the non-empty units in runs of at most ``CHUNK_CHARS``; a long unit is alone."""
+    held: list[int] = []
+    chars = 0
+    for i, u in enumerate(units):
+        if held and (chars + len(u) > CHUNK_CHARS or len(u) > LONG_UNIT):
+            yield held
+            held, chars = [], 0
+        if len(u) > LONG_UNIT:
+            yield [i]
+        elif u:
+            held.append(i)
+            chars += len(u)
+    if held:
+        yield held
+
+
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    """Over the first axis; -inf where nothing is summed."""
+    top = terms.max(0)
+    safe = np.where(np.isfinite(top), top, 0.0)
+    with np.errstate(divide="ignore"):
+        return safe + np.log(np.exp(terms - safe).sum(0))
+
+
+def _blocks(weight: np.ndarray) -> np.ndarray:
+    """[l, block, place]; the last block is filled up with places that nothing reaches."""
+    reach, n = weight.shape
+    many = -(-n // BLOCK)
+    out = np.full((reach, many * BLOCK), -np.inf)
+    out[:, :n] = weight
+    return out.reshape(reach, many, BLOCK)
+
+
+def _chained(weight: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """The state before each block of a segment, and after its last character."""
+    reach, n = weight.shape
+    whole = n // BLOCK
+    states = [state]
+    if whole:
+        blocks = np.exp(_blocks(weight[:, : whole * BLOCK]))
+        # ring[place % reach, block, b]: up to that place, from the state with 1 at its place b alone, over exp(scale)
+        ring = np.eye(reach)[:, None].repeat(whole, 1)
+        scale = np.zeros((whole, reach))
+        back = -np.arange(reach)  # the state's k-th place is k before the block
+        for t in range(BLOCK):
+            own = np.empty((reach, whole))
+            own[(t + back) % reach] = blocks[:, :, t]
+            ring = ring if t else ring[back % reach]
+            ring[(t + 1) % reach] = np.einsum("kxb,kx->xb", ring, own)
+            top = ring.max(0)
+            top[top == 0] = 1
+            ring /= top
+            scale += np.log(top)
+        with np.errstate(divide="ignore"):
+            move = (np.log(ring[(BLOCK + back) % reach]) + scale).transpose(1, 0, 2)  # [block, to, from]
+        for m in move:
+            states.append(_log_sum((m + states[-1]).T))
+    if n > whole * BLOCK:
+        end = states[-1]
+        for w in weight[:, whole * BLOCK :].T:
+            end = np.concatenate([[_log_sum((end + w)[:, None])[0]], end[:-1]])
+        states.append(end)
+    return np.stack(states)
+
 
 class Layout:
     """The units' characters by their place in the unit, the longest unit first: those at one place are neighbours."""
