@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from loamworks.llm import decontaminate, lattice_lm, license_scan, piece_sampling, quality_gam, queries, toxicity_pu
+from loamworks.llm import decontaminate
+from loamworks.llm import lattice as lattice_of
+from loamworks.llm import lattice_lm, license_scan, piece_sampling, quality_gam, queries, toxicity_pu
 from loamworks.llm.lattice import Lattice, Vocabulary, load_vocabulary
 from loamworks.llm.shared import crc_mod
 
@@ -51,15 +53,40 @@ def test_lattice_sums_all_segmentations(vocabulary):
     lattice = Lattice(vocabulary)
     units = [" the", " tho☃r", "\n", "   ab", "a", " tionnt", "", "é汉"]
     got = lattice.log_marginal(units)
-    want = np.zeros(len(vocabulary.log_weight))
     for unit, g in zip(units, got):
-        if unit:
-            every = segmentations(vocabulary, unit)
-            total = math.log(sum(map(math.exp, every.values())))
-            assert g == pytest.approx(total)
-            for s, w in every.items():
-                np.add.at(want, list(s), math.exp(w - total))
-    assert np.allclose(lattice.expected([u for u in units if u], np.ones(7)), want)
+        assert g == pytest.approx(math.log(sum(map(math.exp, segmentations(vocabulary, unit).values()))) if unit else 0.0)
+
+
+@pytest.mark.parametrize(("segment", "block"), [(1 << 17, 256), (512, 64), (300, 7), (17, 5)])
+def test_long_units_by_segments_equal_the_plain_recursion(vocabulary, monkeypatch, segment, block):
+    monkeypatch.setattr(lattice_of, "SEGMENT", segment)
+    monkeypatch.setattr(lattice_of, "BLOCK", block)
+    lattice = Lattice(vocabulary)
+    unit = " " + "".join(np.random.default_rng(0).choice(list("aeionthrsé☃😀"), 900))
+    _, piece, alpha, _ = lattice.forward([unit], 0.7)
+    look = {p: i for i, p in enumerate(vocabulary.pieces) if p}
+    states = list(lattice.states(unit, 0.7))
+    assert states[-1][0] == pytest.approx(alpha[-1])
+    for i, start in enumerate(range(0, len(unit), segment)):
+        ids, cdf = lattice.segment(unit, start, states[i], 0.7)
+        for j in range(ids.shape[1]):
+            end, chance = start + j + 1, [0.0] * lattice.reach
+            for l in range(min(lattice.reach, end)):
+                text = unit[end - l - 1 : end]
+                assert ids[l, j] == look.get(text, -2 if l == 0 else -1)
+                weight = vocabulary.log_weight[look[text]] if text in look else lattice.byte_weight(np.array([ord(text)]))[0] if l == 0 else -np.inf
+                chance[l] = math.exp(0.7 * weight + (alpha[end - l - 2] if end - l - 2 >= 0 else 0.0) - alpha[end - 1])
+            assert np.allclose(np.cumsum(chance), cdf[j], atol=1e-5)
+
+
+def test_words_of_megabytes(spark, vocabulary):
+    word = "".join(np.random.default_rng(1).choice(list("aeionthrsé☃"), 1_500_000))
+    table = docs(spark, [(1, word), (2, f"a {word[:70_000]} b"), (3, word), (7, " " * 300_000)])
+    out = {r["doc_id"]: r for r in piece_sampling.encode_sampled(table, vocabulary, decoded_col="back").collect()}
+    assert all(r["back"] == r["text"] for r in out.values()) and 0 < len(out[1]["ids"]) < 2 * len(word)
+    scored = {r["doc_id"]: r for r in lattice_lm.score_documents(table, F.col("doc_id") == 1, vocabulary).collect()}
+    assert scored[1]["n_tokens"] == 2 and scored[3]["n_known"] == 2 and scored[1]["score"] == scored[3]["score"] < scored[2]["score"] < scored[7]["score"] < 0
+    assert scored[1]["adapted_score"] > -3 and math.isfinite(scored[2]["adapted_score"])
 
 
 def test_samples_follow_the_weights(vocabulary):
@@ -80,85 +107,54 @@ def test_encoding_is_lossless_and_reproducible(spark, vocabulary, monkeypatch):
     first = piece_sampling.encode_sampled(table, vocabulary)
     assert sorted(first.columns) == sorted(table.columns)
     decoded = piece_sampling.decode_ids(first, vocabulary).collect()
-    assert all(r["decoded"] == (r["text"] or "") for r in decoded)
+    assert all(r["decoded"] == r["text"] and (r["ids"] is None) == (r["text"] is None) for r in decoded)
+    assert all(r["decoded"] == r["text"] for r in piece_sampling.encode_sampled(table, vocabulary, decoded_col="decoded").collect())
+    over = {r["doc_id"]: r["text"] for r in piece_sampling.encode_sampled(table, vocabulary, out_col="text").collect()}
+    assert over[1] is None and over[3] == [r["ids"] for r in decoded if r["doc_id"] == 3][0]
     again = piece_sampling.encode_sampled(table.repartition(3).coalesce(1), vocabulary).collect()
-    assert Counter((r["doc_id"], r["text"], tuple(r["ids"])) for r in again) == Counter((r["doc_id"], r["text"], tuple(r["ids"])) for r in first.collect())
+    row = lambda r: (r["doc_id"], r["text"], None if r["ids"] is None else tuple(r["ids"]))
+    assert Counter(map(row, again)) == Counter(map(row, first.collect()))
     assert piece_sampling.encode_sampled(docs(spark, []), vocabulary).count() == 0
     sampler = piece_sampling.Sampler(vocabulary, 1.0, 42)
     whole = sampler.encode(odd[4:], np.arange(7, dtype=np.uint64))
-    monkeypatch.setattr(piece_sampling, "CHUNK_UNITS", 3)
+    assert len(whole[6]) > 0
+    monkeypatch.setattr(lattice_of, "CHUNK_CHARS", 50)
     assert all(np.array_equal(a, b) for a, b in zip(whole, sampler.encode(odd[4:], np.arange(7, dtype=np.uint64))))
+    long = np.concatenate([sampler.sample_long("   thon☃", np.uint64(k), 0)[None][:, :1] for k in range(2000)])
+    short, per = sampler.sample(["   thon☃"] * 2000, np.arange(2000, dtype=np.uint64), np.zeros(2000, np.int64))
+    assert np.array_equal(long[:, 0], short[np.cumsum(per) - per])  # the same draws
 
 
-@pytest.mark.parametrize(("frequent", "kinds"), [(200_000, 0), (3, 0), (200_000, 3), (3, 3)])
-def test_language_model(spark, vocabulary, frequent, kinds):
-    rows = [(i, f"The cat {'Sat' * (i % 3)} on  é\x1cx\t{i}") for i in range(30)] + [(3, "again again")] * 2 + [(None, None), (50, "")]
-    out = lattice_lm.score_documents(docs(spark, rows), crc_mod("doc_id", 7) != 2, vocabulary, frequent=frequent, rounds=0, kinds=kinds).collect()
+@pytest.mark.parametrize("frequent", [200_000, 3, 0])
+def test_language_model(spark, vocabulary, frequent):
+    rows = [(i, f"The cat {'Sat' * (i % 3)} on  é\x1cx\t{i}") for i in range(30)] + [(3, "again again")] * 2 + [(None, None), (50, ""), (51, "cat " * 70_000 + "unseen")]
+    out = lattice_lm.score_documents(docs(spark, rows), crc_mod("doc_id", 7) != 2, vocabulary, frequent=frequent).collect()
     trains = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2
     counts = Counter(w for i, t in rows if trains(i) for w in [*lattice_lm.tokens(t), b""])
-    n, v = sum(counts.values()), len(counts)
-    share = 1 - sum(c == 1 for c in counts.values()) / (n + 1)
-    start = np.exp(vocabulary.log_weight)
-    start[vocabulary.end_id] = 0
+    n, v, end = sum(counts.values()), len(counts), counts[b""] / sum(counts.values())
+    weight = np.exp(vocabulary.log_weight)
+    weight[vocabulary.end_id] = 0
     with np.errstate(divide="ignore"):
-        lattice = Lattice(replace(vocabulary, log_weight=np.log(start / start.sum())))
-    table = docs(spark, rows)
-    train = crc_mod("doc_id", 7) != 2
-    centres = lattice_lm.text_kinds(table, train, "doc_id", table["text"], kinds) if kinds else None
-    within: dict[int, list] = {}  # a kind's texts
-    for i, t in rows:
-        if kinds and trains(i):
-            pairs = lattice_lm.letter_pairs(t)
-            within.setdefault(min(range(len(centres)), key=lambda k: (round(float(((pairs - centres[k]) ** 2).sum()), 12), k)), []).append([*lattice_lm.tokens(t), b""])
-
-    def chance(ws, words):
-        """log10 of the mixture over the kinds, word by word."""
-        if not kinds:
-            return sum(map(math.log10, words))
-        total = 0.0
-        for texts in within.values():
-            c = Counter(w for t in texts for w in t)
-            m, d = sum(c.values()), len(c)
-            total += len(texts) / sum(map(len, within.values())) * math.prod((c[w] + d * p) / (m + d) for w, p in zip(ws, words))
-        return math.log10(total)
-
+        own = replace(vocabulary, log_weight=np.log(weight / weight.sum() * (1 - end)))
+    chance = {w: sum(map(math.exp, segmentations(own, f" {w.decode()}").values())) if w else end for w in {w for _, t in rows for w in [*lattice_lm.tokens(t), b""]}}
     assert len(out) == len(rows)
-    got = Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 5)) for r in out)
+    got = Counter((r["doc_id"], r["trains"], r["n_tokens"], r["n_known"], r["train_tokens"], *(round(r[c], 4) for c in ("base_score", "score", "adapted_score"))) for r in out)
     want = Counter()
     for i, t in rows:
         ws = [*lattice_lm.tokens(t), b""]
-        pieces = [math.exp(lattice.log_marginal([f" {w.decode()}"])[0]) if w else math.exp(vocabulary.log_weight[vocabulary.end_id]) for w in ws]
-        want[(i, len(ws), sum(counts[w] > 0 for w in ws), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in ws), 6), round(chance(ws, [share * counts[w] / n + (1 - share) * p for w, p in zip(ws, pieces)]), 5))] += 1
+        of = lambda f: round(sum(math.log10(f(w)) for w in ws), 4)
+        want[(i, trains(i), len(ws), sum(counts[w] > 0 for w in ws), n, of(lambda w: (counts[w] + 1) / (n + v + 1)), of(chance.get), of(lambda w: (counts[w] + v * chance[w]) / (n + v)))] += 1
     assert got == want
     assert lattice_lm.score_documents(docs(spark, []), crc_mod("doc_id", 7) != 2, vocabulary).count() == 0
+    none = lattice_lm.score_documents(docs(spark, rows), F.lit(None).cast("boolean"), vocabulary).agg(F.max("n_known"), F.max("train_tokens"), F.count_if(~F.isnan("adapted_score"))).first()
+    assert tuple(none) == (0, 0, len(rows))
 
 
-def test_fitted_weights_explain_unseen_words_better(spark, vocabulary):
-    table = spark.read.parquet(f"{TINY}/documents.parquet")
-    held = lambda **k: lattice_lm.score_documents(table, crc_mod("doc_id", 7) != 2, vocabulary, **k).where("not trains").agg(F.sum("score")).first()[0]
-    assert held(kinds=0) > held(rounds=0, kinds=0)
-    assert held() > held(kinds=0)
-
-
-def test_kinds_of_text_are_told_apart(spark):
-    rows = [(i, ("the cat sat on the mat " if i % 2 else "der Hund lief zum Haus ") * (i % 5 + 1)) for i in range(40)]
-    table = docs(spark, [*rows, (None, None), (90, ""), (91, "x")])
-    centres = lattice_lm.text_kinds(table, F.lit(True), "doc_id", table["text"], 8)
-    own = lattice_lm.nearest(np.array([lattice_lm.letter_pairs(t) for _, t in rows]), centres)
-    assert not set(own[::2]) & set(own[1::2])
-    assert np.allclose(lattice_lm.letter_pairs("ab" * 2_000_000) ** 2 @ np.ones(lattice_lm.CELLS), 1)
-    assert lattice_lm.text_kinds(table, F.lit(False), "doc_id", table["text"], 8).shape == (1, lattice_lm.CELLS)
-
-
-def test_kinds_come_from_all_training_texts(spark):
-    texts = [f"{w} {i} {w[::-1]}" for i in range(1500) for w in ("the cat", "der Hund", "le chien")] + ["same again"] * 2500
-    table = docs(spark, enumerate(texts)).repartition(5)
-    (centre,) = lattice_lm.text_kinds(table, F.lit(True), "doc_id", table["text"], 1)
-    assert np.allclose(centre, np.mean([lattice_lm.letter_pairs(t) for t in texts], axis=0), rtol=0, atol=1e-5)
-    centres = lattice_lm.text_kinds(table, F.lit(True), "doc_id", table["text"], 16)
-    assert len(np.unique(centres, axis=0)) == 16
-    again = table.repartition(3)
-    assert np.array_equal(centres, lattice_lm.text_kinds(again, F.lit(True), "doc_id", again["text"], 16))
+def test_words_that_are_broadcast(spark):
+    words = spark.createDataFrame([(f"w{i}".encode(), 1 if i < 900 else i) for i in range(1000)], "word binary, total long")
+    for most in (0, 1, 50, 100, 500, 1000, 2000):
+        got = [r["total"] for r in words.where(lattice_lm._split(words, most)).collect()]
+        assert len(got) <= most and len(got) >= min(most, 1000) * 0.8 and sum(t > 1 for t in got) >= min(most, 100) * 0.6
 
 
 def accuracy(out, labels, label):
