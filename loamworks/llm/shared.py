@@ -20,8 +20,11 @@ def crc_mod(id_col: str, mod: int) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares. A folder of our own is used only where the session names none."""
+    """The folder that the cluster shares. A folder of our own is used only where the session names none and all runs on
+    one machine; a cluster without a named folder is an error, as each executor would write to its own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir names no folder that the cluster shares")
     return named or LOCAL_CHECKPOINTS
 
 
