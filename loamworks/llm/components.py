@@ -1,7 +1,8 @@
 """Connected components by alternating large and small stars.
 
-No neighbourhood is gathered anywhere: each step is a grouped minimum (combined before the shuffle) and a join,
-whose hot vertices adaptive execution splits. Each round is written to the shared folder.
+No neighbourhood is gathered anywhere: each step is a grouped minimum (combined before the shuffle) and a join. The
+minima are written before the join, whose sides are then shuffled for it alone, so that adaptive execution can split a
+hot vertex. Each step is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -54,17 +55,18 @@ def _contract(frames):
         yield pd.DataFrame({"a": a, "b": b})
 
 
-def _large(e: DataFrame) -> DataFrame:
+def _large(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The step's edges, and the table of least neighbours that they read."""
     both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b"), F.col("a")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")), least
 
 
-def _small(e: DataFrame) -> DataFrame:
-    """Edges come with a > b."""
-    least = e.groupBy("a").agg(F.min("b").alias("m"))
+def _small(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same; edges come with a > b."""
+    least = written(e.groupBy("a").agg(F.min("b").alias("m")), "least")
     joined = e.join(least, "a")
-    return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
+    return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))), least
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -80,6 +82,9 @@ def components(edges: DataFrame) -> DataFrame:
         if before == tuple(now) or now["n"] == 0:
             return e.select(F.col("a").alias("vertex"), F.col("b").alias("component"))
         before = tuple(now)
-        step = written(_small(_large(e)).distinct(), "edges")
-        forget(e)
-        e = step
+        for star in (_large, _small):
+            edges, least = star(e)
+            step = written(edges.distinct(), "edges")
+            forget(e)
+            forget(least)
+            e = step

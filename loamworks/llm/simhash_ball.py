@@ -157,15 +157,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def components_of_groups(groups: DataFrame, radius: int) -> DataFrame:
     """(fp, least) -> (fp, root, least), the smallest ``least`` of the fingerprint's component and its root fingerprint."""
     linked = components(fingerprint_edges(groups, radius))
-    joined = groups.join(linked, groups.fp == linked.vertex, "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    whole = joined.groupBy("root").agg(F.min("least").alias("least"))
+    joined = written(groups.join(linked, groups.fp == linked.vertex, "left").select("fp", "least", F.coalesce("component", "fp").alias("root")), "rooted")
+    # written, so that the join's sides are shuffled for it alone and a component of any size can be split
+    whole = written(joined.groupBy("root").agg(F.min("least").alias("least")), "roots")
     return joined.select("fp", "root").join(whole, "root")
 
 
 def fingerprint_edges(groups: DataFrame, radius: int, prefix: int | None = None) -> DataFrame:
     half = (radius + 1) // 2
-    if prefix is None:  # some 50,000 fingerprints of a key at once; more are done in blocks
-        prefix = min(16, max(4, (groups.count() // 50_000).bit_length() + 4))
+    if prefix is None:  # follows the number of fingerprints, so that a key keeps some 50,000 of them whatever that is
+        prefix = min(40, max(4, (groups.count() // 50_000).bit_length() + 4))
     masks = F.array(*[F.lit(int(m)) for m in _masks(prefix, half)])
     keyed = groups.select("fp", F.explode(F.transform(masks, lambda m: F.shiftrightunsigned("fp", BITS - prefix).bitwiseXOR(m))).alias("key"))
     return keyed.repartition("key").sortWithinPartitions("key").mapInPandas(lean(_ball_links(half, radius, prefix)), "a long, b long")

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from loamworks.llm import components, rotated_codes, sharding, simhash_ball, token_packing
+from loamworks.llm import components, rotated_codes, shared, sharding, simhash_ball, token_packing
 
 DOCS = "doc_id long, text string, fp string, row string, size long, shard int"
 TINY = "/root/testdata/sf0.001"
@@ -41,6 +41,25 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Named:
+        conf = type("C", (), {"get": staticmethod(lambda k, d: None)})
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.checkpoint_dir(Named)
+
+
+@pytest.mark.parametrize("prefix", [4, 17, 22])
+def test_longer_keys_lose_no_link(spark, prefix):
+    rng = np.random.default_rng(4)
+    fps = [int(b) for b in rng.integers(0, 2**62, 60, dtype=np.uint64)]
+    fps += [f ^ sum(1 << int(k) for k in rng.choice(62, rng.integers(1, 6), replace=False)) for f in fps]
+    edges = simhash_ball.fingerprint_edges(spark.createDataFrame([(f, i) for i, f in enumerate(fps)], "fp long, least long"), 4, prefix).collect()
+    at = {f: i for i, f in enumerate(fps)}
+    assert groups_of(len(fps), [(at[r["a"]], at[r["b"]]) for r in edges]) == groups_of(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4])
+
+
 def plain_fingerprint(text):
     words = (text or "").encode().lower().split()
     if not words:
