@@ -1,9 +1,14 @@
-"""Embedding near-duplicates by randomly rotated binary codes with correction factors, recomputed in each bucket.
+"""Embedding near-duplicates by randomly rotated binary codes with stored correction factors.
 
-A unit vector o is rotated at random and kept as its signs, with f = <signs/sqrt(d), o>. For another unit vector q,
-<signs/sqrt(d), q> / f estimates <o, q> without bias; its error is below SIGMAS * sqrt((1 - f^2) / (f^2 (d - 1))) but
-for a vanishing chance. Pairs whose upper bound reaches the threshold are computed exactly, in double precision; no
-other pair is, and no pair below the threshold is linked.
+A unit vector o of d components is stored, once, as the signs s of its rotations (``CODE_BITS`` of them at least, from as
+many rotations as that takes). What the signs stand for, o' = P's / sqrt(bits), is f o + r, r being orthogonal to o in a
+direction that the random rotations make uniform. f = <o', o> and |r| are the correction factors, stored with the code.
+Each vector has two such codes, of independent rotations. <o', q'> / (f g), with o' of the first code of one vector and
+q' of the second code of the other, then estimates <o, q> without bias, and at <o, q> = t its variance is at most
+((a + b)(1 - t^2) + a b) / (d - 1), a and b being the squares of |r| / f. Pairs whose upper bound, ``SIGMAS`` above the
+estimate, stays below the threshold are dropped; all others are computed exactly, in double precision.
+
+Codes and factors alone are shuffled to find the vectors that have an open pair; only those vectors follow.
 
 Which pairs are estimated: those that agree in the first bits of the code under at least one of several rotations
 (sign bits of a random rotation agree with probability 1 - angle/pi, so the number of rotations that a wanted recall
@@ -16,10 +21,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +35,12 @@ from loamworks.llm.shared import lean, written
 THRESHOLD = 0.93
 RECALL = 0.998
 SIGMAS = 5.0
-BUCKET = 64
+#: Signs of a stored code, at least.
+CODE_BITS = 256
+BUCKET = 512
 TILE = 2_048
+#: What a group of the shuffle is.
+GROUP = ("label_key", "turn", "bucket", "tile_a", "tile_b")
 #: Large buckets that are broadcast at most; more are joined by shuffle.
 BROADCAST_BUCKETS = 100_000
 SEED = 7
@@ -54,38 +64,82 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def _coder(bits: int, rotations: int, dim: int, seed: int):
-    """(class_key, label, embedding) -> the bucket of each rotation."""
+def projection(dim: int, seed: int) -> np.ndarray:
+    """(dim, bits): rotations side by side, ``CODE_BITS`` wide at least; unit vectors keep their length."""
+    many = math.ceil(CODE_BITS / dim)
+    return np.concatenate([rotation(dim, seed + r) for r in range(many)], 1) / math.sqrt(many)
+
+
+def restored(code: np.ndarray, turned: np.ndarray) -> np.ndarray:
+    """What packed signs (n, bytes) stand for, in the vectors' own space."""
+    bits = turned.shape[1]
+    return (np.unpackbits(code, axis=1, count=bits).astype(np.float32) * 2 - 1) @ (turned.T / math.sqrt(bits)).astype(np.float32)
+
+
+def coded(unit: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(packed signs, f, (|r| / f) squared) of unit vectors."""
+    code = np.packbits(unit @ turned > 0, axis=1)
+    o = restored(code, turned).astype(float)
+    f = (o * unit).sum(1)
+    return code, f, np.maximum(0.0, (o * o).sum(1) - f * f) / (f * f)
+
+
+@lru_cache(8)  # lengths are few; of many, matrices are made anew
+def code_matrices(dim: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    return projection(dim, seed + 1_000_000), projection(dim, seed + 2_000_000)
+
+
+@lru_cache(8)
+def bucket_matrices(dim: int, bits: int, rotations: int, seed: int) -> list[np.ndarray]:
+    return [rotation(dim, seed + t)[:, : min(bits, dim)] for t in range(rotations)]
+
+
+def _coder(bits: int, rotations: int, seed: int):
+    """(class_key, size, label_key, embedding) -> the same with its code (both, one after the other), factors (f of each,
+    and the larger of their errors) and the bucket of each rotation."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turns = [rotation(dim, seed + t)[:, : min(bits, dim)] for t in range(rotations)]
-        weights = 1 << np.arange(min(bits, dim))
         for b in batches:
-            x = b.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
-            codes = np.stack([((x @ t) > 0) @ weights for t in turns], 1).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * rotations, pa.int32()), pa.array(codes.ravel()))
-            yield pa.RecordBatch.from_arrays([*b.columns, lists], names=[*b.schema.names, "codes"])
+            length = pa.compute.list_value_length(b.column("embedding")).to_numpy()
+            for dim in np.unique(length).tolist():
+                part = b.filter(pa.array(length == dim))
+                x = _unit(part.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim))
+                (first, second), turns = code_matrices(dim, seed), bucket_matrices(dim, bits, rotations, seed)
+                (one, f, a), (two, g, c) = coded(x, first), coded(x, second)
+                weights = 1 << np.arange(min(bits, dim))
+                codes = np.stack([((x @ t) > 0) @ weights for t in turns], 1).astype(np.int32)
+                both = np.concatenate([one, two], 1)
+                cuts = pa.array(np.arange(len(x) + 1) * both.shape[1], pa.int32())
+                made = [
+                    pa.BinaryArray.from_buffers(pa.binary(), len(x), [None, cuts.buffers()[1], pa.py_buffer(np.ascontiguousarray(both))]),
+                    pa.array(np.full(len(x), dim, np.int32)),
+                    *(pa.array(v.astype(np.float32)) for v in (f, g, np.maximum(a, c))),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * rotations, pa.int32()), pa.array(codes.ravel())),
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, "code", "dim", "f", "g", "error", "codes"])
 
     return run
 
 
-def tile_links(x: np.ndarray, size: np.ndarray, codes: np.ndarray, turn: int, split: int | None, threshold: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of rows linked in this bucket and in that of no earlier rotation. With ``split``, i lies before and
-    j from it on; else all pairs."""
-    n, dim = x.shape
+def open_pairs(first: np.ndarray, second: np.ndarray, error: np.ndarray, dim: int, threshold: float, rows: slice, begin: int) -> np.ndarray:
+    """Whether the upper bound of <o, q> reaches the threshold, for the vectors ``rows`` and those from ``begin`` on.
+    first, second: what the two codes stand for, over f; error: the larger of their (|r| / f) squared."""
+    estimate = (first[rows] @ second[begin:].T + second[rows] @ first[begin:].T) / 2
+    a, b = error[rows, None], error[None, begin:]
+    spread = np.sqrt(((a + b) * (1 - threshold**2) + a * b) / max(1, dim - 1))
+    return estimate + SIGMAS * spread >= threshold - 1e-5
+
+
+def exact_links(x: np.ndarray, codes: np.ndarray, turn: int, split: int | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of rows at the threshold or above that share no earlier rotation's bucket. With ``split``, i lies
+    before and j from it on; else all pairs."""
     unit = _unit(x)
-    turned = unit @ rotation(dim, seed + turn)
-    signs = np.where(turned > 0, 1.0, -1.0).astype(np.float32) / np.float32(math.sqrt(dim))
-    f = (signs * turned).sum(1)
-    slack = SIGMAS * np.sqrt(np.maximum(0, 1 - f * f) / (f * f * max(1, dim - 1)))
-    turned = turned.astype(np.float32)
     found_i, found_j = [], []
-    for a in range(0, n if split is None else split, 512):
-        first = np.arange(a, min(a + 512, n if split is None else split))
-        begin = a if split is None else split
-        estimate = (signs[first] @ turned[begin:].T) / f[first, None]
-        i, j = np.nonzero(estimate + slack[first, None] >= threshold - 1e-6)
-        i, j = i + a, j + begin
+    last = len(x) if split is None else split
+    for at in range(0, last, 512):
+        begin = at if split is None else split
+        i, j = np.nonzero(unit[at : min(at + 512, last)] @ unit[begin:].T >= threshold - 1e-9)
+        i, j = i + at, j + begin
         ok = i < j
         i, j = i[ok], j[ok]
         exact = np.empty(len(i))
@@ -102,50 +156,82 @@ def tile_links(x: np.ndarray, size: np.ndarray, codes: np.ndarray, turn: int, sp
     return np.concatenate(found_i), np.concatenate(found_j)
 
 
-def _joiner(threshold: float, seed: int):
-    """Rows sorted by (group, half) -> for each class its links' sizes (b null), and a forest of the links."""
+def _split(t: pa.Table) -> int | None:
+    return int(np.searchsorted(t["half"].to_numpy(), 1)) if t["cross"][0].as_py() else None
+
 
-    def close(rows: list[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+def _opener(threshold: float, seed: int):
+    """Rows of codes of one group -> the rows that have an open pair in it."""
+
+    def close(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(rows)
+        if t.num_rows < 2:
+            return
+        dim, split = t["dim"][0].as_py(), _split(t)
+        raw = np.frombuffer(b"".join(t["code"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+        half = raw.shape[1] // 2
+        one, two = (restored(np.ascontiguousarray(c), m) / t[f].to_numpy()[:, None] for c, m, f in zip((raw[:, :half], raw[:, half:]), code_matrices(dim, seed), "fg"))
+        error = t["error"].to_numpy()
+        some = np.zeros(t.num_rows, bool)
+        last = t.num_rows if split is None else split
+        for at in range(0, last, 512):
+            rows_of = slice(at, min(at + 512, last))
+            begin = at if split is None else split
+            hit = open_pairs(one, two, error, dim, threshold, rows_of, begin)
+            if split is None:
+                hit = np.triu(hit, 1)
+            some[rows_of] |= hit.any(1)
+            some[begin:] |= hit.any(0)
+        if some.any():
+            kept = t.select([*GROUP, "half", "cross", "class_key"]).filter(pa.array(some))
+            yield from kept.combine_chunks().to_batches()
+
+    return _by_group(close)
+
+
+def _joiner(threshold: float):
+    """Rows with vectors of one group -> for each class its links' sizes (b null), and a forest of the links."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+    def close(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows)
         key = t["class_key"].to_numpy()
         if len(key) < 2:
             return
-        dim = len(t["embedding"][0])
-        x = t["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
+        x = t["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(key), -1)
         codes = t["codes"].combine_chunks().flatten().to_numpy().reshape(len(key), -1)
-        size, half = t["size"].to_numpy(), t["half"].to_numpy()
-        cross = t["cross"][0].as_py()
-        i, j = tile_links(x, size, codes, t["turn"][0].as_py(), int(np.searchsorted(half, 1)) if cross else None, threshold, seed)
+        size = t["size"].to_numpy()
+        i, j = exact_links(x, codes, t["turn"][0].as_py(), _split(t), threshold)
         if not len(i):
             return
         links = np.bincount(i, size[j], len(key)) + np.bincount(j, size[i], len(key))
         some = np.flatnonzero(links)
-        yield pd.DataFrame({"a": key[some], "b": pd.array([None] * len(some), "Int64"), "n": links[some].astype(np.int64)})
+        yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.nulls(len(some), pa.int64()), pa.array(links[some].astype(np.int64))], schema=schema)
         a, b = spanning_forest(key[i], key[j])
-        yield pd.DataFrame({"a": a, "b": pd.array(b, "Int64"), "n": np.zeros(len(a), np.int64)})
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.zeros(len(a), np.int64))], schema=schema)
+
+    return _by_group(close)
+
+
+def _by_group(close):
+    """A function for mapInArrow over rows sorted by ``GROUP``: each group's batches go to ``close``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         group = None
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for f in close(held):
-                yield pa.RecordBatch.from_pandas(f, schema, preserve_index=False)
-
         for b in batches:
             if not b.num_rows:
                 continue
-            g = np.stack([b.column(c).to_numpy() for c in ("label_key", "turn", "bucket", "tile_a", "tile_b")], 1)
+            g = np.stack([b.column(c).to_numpy() for c in GROUP], 1)
             cuts = [0, *(np.flatnonzero((g[1:] != g[:-1]).any(1)) + 1), len(g)]
             for s, e in zip(cuts, cuts[1:]):
                 if group is not None and tuple(g[s]) != group:
-                    yield from out()
+                    yield from close(held)
                     held = []
                 group = tuple(g[s])
                 held.append(b.slice(s, e - s))
         if held:
-            yield from out()
+            yield from close(held)
 
     return run
 
@@ -165,41 +251,41 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     slim = slim.withColumn("ok", F.coalesce(F.col("label").isNotNull() & finite, F.lit(False)))
     # -0.0 and 0.0 are one value; a class is one vector under one label
     usable = slim.where("ok").withColumn("embedding", F.transform("embedding", lambda v: (v + F.lit(0).cast(number)).cast(number)))
+    # 128 bits stand for a class in joins, so that whole vectors are no join keys
+    hashes = [F.xxhash64("label", "embedding").alias("h"), F.xxhash64(F.lit(seed), "embedding", "label").alias("k")]
     classes = usable.groupBy("label", "embedding").agg(F.count("*").alias("size"), F.min("vec_id").alias("least"))
-    classes = written(classes.withColumn("class_key", F.monotonically_increasing_id()).withColumn("label_key", F.xxhash64("label", F.size("embedding"))), "classes")
-    shapes = classes.groupBy(F.size("embedding").alias("dim")).agg(F.count("*").alias("n")).collect()  # one row a vector length
+    classes = written(classes.select("embedding", "size", "least", *hashes, F.monotonically_increasing_id().alias("class_key"), F.xxhash64("label", F.size("embedding")).alias("label_key")), "classes")
     most = classes.groupBy("label_key").count().agg(F.max("count")).first()[0] or 0
-    bits, rotations = plan(most, threshold, recall)
-    empty = slim.sparkSession.createDataFrame([], "a long, b long, n long")
-    found = empty
-    for shape in shapes:
-        found = found.union(_links(classes.where(F.size("embedding") == shape["dim"]), shape["dim"], min(bits, shape["dim"]), rotations, threshold, seed))
-    found = written(found, "links")
+    found = written(_links(classes, *plan(most, threshold, recall), threshold, seed), "links")
     linked = components(found.where("b is not null").select("a", "b"))
     degrees = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "class_key")
-    rooted = classes.join(linked, classes.class_key == linked.vertex, "left").withColumn("root", F.coalesce("component", "class_key"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    whole = rooted.join(least, "root").join(degrees, "class_key", "left").select("label", "embedding", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), "component_id")
-    members = usable.select("vec_id", "label", "embedding").join(whole, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
+    rooted = written(classes.select("class_key", "h", "k", "size", "least").join(linked, F.col("class_key") == F.col("vertex"), "left").withColumn("root", F.coalesce("component", "class_key")), "rooted")
+    # written, so that the join's sides are shuffled for it alone and a component of any size can be split
+    least = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "roots")
+    whole = rooted.join(least, "root").join(degrees, "class_key", "left").select("h", "k", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), "component_id")
+    members = usable.select("vec_id", *hashes).join(whole, ["h", "k"]).select("vec_id", "n_links", "component_id")
     alone = slim.where(~F.col("ok")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return members.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
-def _links(classes: DataFrame, dim: int, bits: int, rotations: int, threshold: float, seed: int) -> DataFrame:
-    kind = f"class_key long, size long, label_key long, embedding {classes.schema['embedding'].dataType.simpleString()}, codes array<int>"
-    coded = written(classes.select("class_key", "size", "label_key", "embedding").mapInArrow(lean(_coder(bits, rotations, dim, seed)), kind), "codes")
-    rows = coded.select("*", F.posexplode("codes").alias("turn", "bucket")).withColumn("turn", F.col("turn").cast("long")).withColumn("bucket", F.col("bucket").cast("long"))
-    place = ["label_key", "turn", "bucket"]
+def _links(classes: DataFrame, bits: int, rotations: int, threshold: float, seed: int) -> DataFrame:
+    plain = "class_key long, size long, label_key long, embedding " + classes.schema["embedding"].dataType.simpleString()
+    kept = written(classes.select("class_key", "size", "label_key", "embedding").mapInArrow(lean(_coder(bits, rotations, seed)), f"{plain}, code binary, dim int, f float, g float, error float, codes array<int>"), "codes")
+    rows = kept.select("class_key", "label_key", "dim", "code", "f", "g", "error", F.posexplode("codes").alias("turn", "bucket")).withColumns({"turn": F.col("turn").cast("long"), "bucket": F.col("bucket").cast("long")})
+    place = list(GROUP[:3])
     large = written(rows.groupBy(*place).count().where(F.col("count") > TILE).select(*place, F.ceil(F.col("count") / TILE).alias("tiles")), "tiles")
     if large.count() <= BROADCAST_BUCKETS:
         large = F.broadcast(large)
     rows = rows.join(large, place, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     mine = F.pmod(F.xxhash64("class_key"), F.col("tiles"))
-    others = F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)
-    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(others))
-    dealt = rows.select("class_key", "size", "embedding", "codes", *place, F.least("mine", "other").alias("tile_a"), F.greatest("mine", "other").alias("tile_b"), (F.col("mine") > F.col("other")).cast("int").alias("half"), (F.col("mine") != F.col("other")).alias("cross"))
-    keys = [*place, "tile_a", "tile_b"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys, "half").mapInArrow(lean(_joiner(threshold, seed)), "a long, b long, n long")
+    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    marks = {"tile_a": F.least("mine", "other"), "tile_b": F.greatest("mine", "other"), "half": (F.col("mine") > F.col("other")).cast("int"), "cross": F.col("mine") != F.col("other")}
+    dealt = rows.withColumns(marks).select("class_key", "dim", "code", "f", "g", "error", *GROUP, "half", "cross")
+    together = lambda df: df.repartition(*GROUP).sortWithinPartitions(*GROUP, "half")
+    at = "label_key long, turn long, bucket long, tile_a long, tile_b long, half int, cross boolean, class_key long"
+    opened = together(dealt).mapInArrow(lean(_opener(threshold, seed)), at)
+    vectors = opened.join(kept.select("class_key", "size", "embedding", "codes"), "class_key")
+    return together(vectors).mapInArrow(lean(_joiner(threshold)), "a long, b long, n long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

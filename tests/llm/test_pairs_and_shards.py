@@ -154,16 +154,24 @@ def test_rotated_codes(spark, tile, monkeypatch):
     assert rotated_codes.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_estimates_are_unbiased():
+def test_estimates_are_unbiased_and_bounds_hold(monkeypatch):
     rng = np.random.default_rng(0)
-    o, q = rng.standard_normal((2, 64))
-    o, q = o / np.linalg.norm(o), q / np.linalg.norm(q)
-    got = []
-    for seed in range(400):
-        r = rotated_codes.rotation(64, seed)
-        signs = np.sign(o @ r) / 8
-        got.append(signs @ (q @ r) / (signs @ (o @ r)))
-    assert abs(np.mean(got) - o @ q) < 4 * np.std(got) / 20
+    for dim in (8, 64, 300):
+        for wanted in (0.0, 0.5, 0.93, 0.99):
+            o, q = rng.standard_normal((2, dim))
+            o /= np.linalg.norm(o)
+            q -= (q @ o) * o
+            q = wanted * o + np.sqrt(1 - wanted**2) * q / np.linalg.norm(q)
+            got, missed = [], 0
+            for seed in range(60):
+                turned = [rotated_codes.projection(dim, 1000 * seed + at) for at in (0, 500)]
+                unit = np.stack([o, q])
+                (one, f, a), (two, g, c) = (rotated_codes.coded(unit, t) for t in turned)
+                u, v = rotated_codes.restored(one, turned[0]) / f[:, None], rotated_codes.restored(two, turned[1]) / g[:, None]
+                got.append((u[0] @ v[1] + v[0] @ u[1]) / 2)
+                hit = rotated_codes.open_pairs(u.astype(np.float32), v.astype(np.float32), np.maximum(a, c), dim, 0.93, slice(0, 1), 0)
+                missed += wanted >= 0.93 and not hit[0, 1]
+            assert abs(np.mean(got) - wanted) < 5 * np.std(got) / np.sqrt(60) + 1e-3 and not missed
 
 
 RANKS = {bytes([b]): b for b in range(256)} | {b"th": 256, b"the": 257}
