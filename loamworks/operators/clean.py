@@ -81,7 +81,7 @@ def leak_key(text: Column) -> Column:
 
 def markdown_text(text: Column) -> Column:
     """Links become their text, then images go; so an image with a description keeps ``!description``."""
-    return strip(F.regexp_replace(F.regexp_replace(text, r"\[([^\]]+)\]\([^)]+\)", "$1"), r"!\[[^\]]*\]\([^)]*\)", ""))
+    return strip(F.regexp_replace(F.regexp_replace(text, r"\[([^\]]+)\]\([^)]+\)", "$1"), r"!\[[^\]]*\]\([^)]+\)", ""))
 
 
 @F.pandas_udf(StringType())

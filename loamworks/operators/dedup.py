@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loamworks.operators.ordering import checkpointed
+
 PERMUTATIONS = 256
 BANDS, ROWS = 13, 19  # what halves the two error integrals at a similarity of 0.85
 SHINGLE = 5
@@ -20,8 +22,11 @@ def content_hash(text):
 
 def exact_dedup(df: DataFrame, *order: str, text_col: str = "text", legacy: bool = False, id_col: str = "id") -> DataFrame:
     """The first row of each text in the order given. A text that a third of all rows share is first reduced in each
-    task (grouped minimum), so no window gathers it. With ``legacy`` a dropped id takes all its rows along."""
-    hashed = df.withColumn("__hash", content_hash(F.col(text_col))).withColumn("__row", F.struct(*order, F.xxhash64(*order), F.monotonically_increasing_id()))
+    task (grouped minimum), so no window gathers it. With ``legacy`` a dropped id takes all its rows along.
+
+    The rows are written once with their numbers: numbers that were computed anew in each branch of the join could
+    differ after a retry, and a group could lose its only row."""
+    hashed = checkpointed(df.withColumn("__hash", content_hash(F.col(text_col))).withColumn("__row", F.struct(*order, F.xxhash64(*order), F.monotonically_increasing_id())))
     first = hashed.groupBy("__hash").agg(F.min("__row").alias("__first"))
     if not legacy:
         return hashed.join(first, [hashed["__hash"].eqNullSafe(first["__hash"]), hashed["__row"] == first["__first"]], "left_semi").drop("__hash", "__row")
@@ -74,7 +79,7 @@ def near_duplicate_ids(df: DataFrame, *, id_col: str = "id", text_col: str = "te
             yield pd.DataFrame(out, columns=["id", "band", "key"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    banded = df.select(df[id_col].alias("id"), df[text_col].alias("text")).mapInPandas(bands, f"id {kind}, band int, key long")
+    banded = checkpointed(df.select(df[id_col].alias("id"), df[text_col].alias("text")).mapInPandas(bands, f"id {kind}, band int, key long"))  # signed once
     least = banded.groupBy("band", "key").agg(F.min("id").alias("least"))
     return banded.join(least, ["band", "key"]).where("id > least").select(F.col("id").alias(id_col)).distinct()
 

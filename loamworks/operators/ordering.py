@@ -13,10 +13,14 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the folder that the cluster shares; one of our own only where the session names none."""
+    """Cut lineage in the folder that the cluster shares; one of our own only where the session names none and all runs
+    on one machine. A cluster without a named folder is an error."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINTS)
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that the cluster shares")
+        sc.setCheckpointDir(named or LOCAL_CHECKPOINTS)
     return df.checkpoint()
 
 

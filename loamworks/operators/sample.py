@@ -37,7 +37,7 @@ def allocation(sizes: dict[tuple, int], n: int) -> dict[tuple, int]:
 def stratified_sample(df: DataFrame, n: int, strata: list[str], *, id_col: str = "id", seed: int = 42) -> DataFrame:
     """Strata are few: their counts go to the driver, the rows don't. At most ``n`` rows."""
     sizes = {tuple(r)[:-1]: r["count"] for r in df.groupBy(*strata).count().collect()}
-    keys = {k: tuple("" if x is None else str(x) for x in k) for k in sizes}
+    keys = {k: tuple((x is not None, "" if x is None else str(x)) for x in k) for k in sizes}  # null and empty are two strata
     got = allocation({keys[k]: v for k, v in sizes.items()}, n)
     rows = [(*k, got[keys[k]]) for k in sizes]
     quota = df.sparkSession.createDataFrame(rows, df.select(*strata).schema.add("__quota", "long")) if rows else None

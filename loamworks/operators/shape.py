@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +17,188 @@ IMPORTED = r"(?s)Below are some information from external classes imported by cu
 RESPONSE = r"(?s)```arkts\n(.*?)\n```"
 TAG = "<unused98>"
 
-# File endings and their languages, in order of precedence for names that only contain one.
-LANGUAGES = (
-    (".py", "Python"), (".js", "JavaScript"), (".ts", "TypeScript"), (".ets", "ArkTS"), (".java", "Java"), (".c", "C"), (".cpp", "C++"),
-    (".h", "C/C++ Header"), (".cs", "C#"), (".go", "Go"), (".rs", "Rust"), (".rb", "Ruby"), (".php", "PHP"), (".swift", "Swift"),
-    (".kt", "Kotlin"), (".scala", "Scala"), (".r", "R"), (".m", "Objective-C"), (".sh", "Shell"), (".sql", "SQL"), (".html", "HTML"),
-    (".css", "CSS"), (".vue", "Vue"), (".json", "JSON"), (".xml", "XML"), (".yaml", "YAML"), (".yml", "YAML"), (".toml", "TOML"),
-    (".md", "Markdown"), (".txt", "Text"), (".lua", "Lua"), (".pl", "Perl"), (".dart", "Dart"), (".tar.gz", "Archive"),
-    (".gitignore", "Git"), ("dockerfile", "Docker"), ("makefile", "Makefile"),
-)
+# File endings and their languages in order of precedence; of an ending that comes twice the first place and
+# the last language count.
+LANGUAGES = dict(
+    line.split(" ", 1)
+    for line in """
+.py Python
+.js JavaScript
+.ts TypeScript
+.jsx React JSX
+.tsx React TSX
+.rb Ruby
+.java Java
+.cpp C++
+.c C
+.cs C#
+.php PHP
+.go Go
+.rs Rust
+.zig Zig
+.swift Swift
+.kt Kotlin
+.scala Scala
+.r R
+.m Objective-C
+.mm Objective-C++
+.pl Perl
+.sh Shell
+.bash Bash
+.zsh Zsh
+.fish Fish
+.ps1 PowerShell
+.bat Batch
+.cmd Command
+.sql SQL
+.html HTML
+.htm HTML
+.css CSS
+.scss SCSS
+.sass Sass
+.less Less
+.xml XML
+.yaml YAML
+.yml YAML
+.json JSON
+.toml TOML
+.ini INI
+.cfg Config
+.conf Config
+.md Markdown
+.txt Text
+.log Log
+.lock Lock
+.gitignore Git
+.dockerfile Docker
+.dockerignore Docker
+.env Environment
+.properties Properties
+.gradle Gradle
+.pom.xml Maven
+.sbt SBT
+.cabal Cabal
+.cargo Cargo
+.composer.json Composer
+.package.json NPM
+.requirements.txt Python
+.setup.py Python
+.pyproject.toml Python
+.poetry.lock Python
+.Pipfile Python
+.Pipfile.lock Python
+.gemfile Ruby
+.gemfile.lock Ruby
+.go.mod Go
+.go.sum Go
+.Cargo.toml Rust
+.Cargo.lock Rust
+.mix.exs Elixir
+.mix.lock Elixir
+.deps.edn Clojure
+.project.clj Leiningen
+.build.sbt Scala
+.build.sc Scala
+.build.gradle Gradle
+.build.gradle.kts Gradle
+.settings.gradle Gradle
+.settings.gradle.kts Gradle
+.gradle.properties Gradle
+.gradle-wrapper.properties Gradle
+.gradle-wrapper.jar Gradle
+.mvn Maven
+.mvn/wrapper/maven-wrapper.properties Maven
+.mvn/wrapper/maven-wrapper.jar Maven
+.npmrc NPM
+.yarnrc Yarn
+.yarn.lock Yarn
+.pnpm-lock.yaml PNPM
+.bowerrc Bower
+.bower.json Bower
+.composer.lock Composer
+.nuget.config NuGet
+.packages.config NuGet
+.paket.dependencies Paket
+.paket.lock Paket
+.stack.yaml Stack
+.stack.yaml.lock Stack
+.cabal.project Cabal
+.cabal.project.local Cabal
+.cabal.project.local~ Cabal
+.cabal.project.local.bak Cabal
+.cabal.project.local.old Cabal
+.cabal.project.local.new Cabal
+.cabal.project.local.tmp Cabal
+.cabal.project.local.temp Cabal
+.cabal.project.local.swp Cabal
+.cabal.project.local.swo Cabal
+.cabal.project.local.bak~ Cabal
+.cabal.project.local.old~ Cabal
+.cabal.project.local.new~ Cabal
+.cabal.project.local.tmp~ Cabal
+.cabal.project.local.temp~ Cabal
+.cabal.project.local.swp~ Cabal
+.cabal.project.local.swo~ Cabal
+.vue Vue
+.dart Dart
+.asm Assembly
+.s Assembly
+.graphql GraphQL
+.gql GraphQL
+.sol Solidity
+.hs Haskell
+.lhs Haskell
+.elm Elm
+.clj ClojureScript
+.edn Clojure
+.ex Elixir
+.exs Elixir
+.erl Erlang
+.hrl Erlang
+.fs F#
+.fsx F#
+.fsi F#
+.ml OCaml
+.mli OCaml
+.re Reason
+.rei Reason
+.nim Nim
+.cr Crystal
+.jl Julia
+.lua Lua
+.tcl Tcl
+.v Verilog
+.sv SystemVerilog
+.vhd VHDL
+.vhdl VHDL
+.coffee CoffeeScript
+.litcoffee CoffeeScript
+.iced IcedCoffeeScript
+.ls LiveScript
+.cljs ClojureScript
+.cljc ClojureScript
+.cljx ClojureScript
+.cljs.edn ClojureScript
+.boot Boot
+.lein Leiningen
+.profiles.clj Leiningen
+.user.clj Leiningen
+.user.clj.bak Leiningen
+.user.clj.old Leiningen
+.user.clj.new Leiningen
+.user.clj.tmp Leiningen
+.user.clj.temp Leiningen
+.user.clj.swp Leiningen
+.user.clj.swo Leiningen
+.user.clj.bak~ Leiningen
+.user.clj.old~ Leiningen
+.user.clj.new~ Leiningen
+.user.clj.tmp~ Leiningen
+.user.clj.temp~ Leiningen
+.user.clj.swp~ Leiningen
+.user.clj.swo~ Leiningen
+""".strip().splitlines()
+)
 
 
 def stable_id(path: Column) -> Column:
@@ -101,15 +276,19 @@ def text_field(columns: list[str]) -> str | None:
     return next((c for c in ("text", "content", "code") if c in columns), None)
 
 
-def language_of(path: Column, table: tuple[tuple[str, str], ...] = LANGUAGES) -> Column:
-    """By the whole name, the last ending, all endings, then the first entry that the name contains."""
-    name = F.lower(F.element_at(F.split(path, "/"), -1))
-    known = F.create_map(*[F.lit(x) for pair in {k: v for k, v in table}.items() for x in pair])
-    inner = F.regexp_extract(name, r"^\.*[^.]*(\..*)$", 1)
-    last = F.regexp_extract(name, r"(\.[^.]+)$", 1)
-    contained = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("v")) for k, v in dict(table).items()]), lambda e: F.contains(name, e["k"]))
+def language_of(path: Column, table: dict[str, str] = LANGUAGES) -> Column:
+    """Of a path that starts with a dot the whole, else by the last ending, all endings, then the first entry that the path
+    contains; ``Unknown`` for any other. A null path is unknown."""
+    name = F.regexp_extract(path, r"([^/]*)/*$", 1)
+    bare = F.lower(F.regexp_replace(name, r"^\.+", ""))
+    last = F.regexp_extract(bare, r"(\.[^.]+)$", 1)
+    inner = F.when(~bare.endswith("."), F.regexp_extract(bare, r"^[^.]*(\..*)$", 1))
+    known = F.from_json(F.lit(json.dumps(table)), "map<string, string>")  # one literal: so many would outgrow a compiled method
+    low = F.lower(path)
+    pairs = F.from_json(F.lit(json.dumps([[k.lower(), v] for k, v in table.items()])), "array<array<string>>")
+    contained = F.get(F.get(F.filter(pairs, lambda e: low.contains(e[0])), F.lit(0)), F.lit(1))
     look = lambda c: F.try_element_at(known, c)
-    return F.coalesce(look(name), look(last), look(inner), F.try_element_at(contained, F.lit(1))["v"], F.lit("Unknown"))
+    return F.coalesce(F.when(path.startswith("."), look(path)), look(last), look(inner), contained, F.lit("Unknown"))
 
 
 def edited_file(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loamworks.functions.text import preview
 from loamworks.operators import augment, clean, dedup, filters, joins, judge, markdown, ordering, sample, shape, syntax, tokens
-from loamworks.plans.views import CODE_SQL, DOCS_SQL, LINES_SQL, code, docs
+from loamworks.plans.views import CODE_SQL, DOCS_SQL, LINES_SQL, code, docs, quoted
 from loamworks.streaming import clean_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,7 +33,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 # ---- filters -------------------------------------------------------------------------------------------------------
 
-AVERAGE = 300
+AVERAGE = 100
+_WORDS = r"len(regexp_extract_all(text, '[\p{L}\p{M}\p{N}_]+'))"
 _JOINED = "list_reduce(list_prepend('', content), lambda a, b: a || b)"
 _COUNT = lambda x, test: f"len(list_filter({x}, lambda x: {test}))"
 _SIGNS = lambda xs, c="lower(text)": "(" + " or ".join(f"contains({c}, '{x}')" for x in xs) + ")"
@@ -49,6 +50,9 @@ FILTER_SQL = {
     "prefix_repetition": "len(content) > 0 and coalesce(list_max(map_values(list_histogram(list_transform(list_filter(content, lambda x: length(x) > 16), lambda x: substring(x, 1, 16))))), 0) <= 0.4 * len(content)",
     "chinese_char_threshold": f"length(replace({_JOINED}, ' ', '')) = 0 or len(regexp_extract_all({_JOINED}, '[一-鿿]')) <= 0.3 * length(replace(replace({_JOINED}, ' ', ''), chr(9), ''))",
     "forbidden_token_frequency": "(length(text) - length(replace(text, 'public', ''))) // 6 <= 6 and (length(text) - length(replace(text, 'private', ''))) // 7 <= 6",
+    "numeric_literal_density": rf"{_WORDS} > 0 and len(regexp_extract_all(text, '\b-?\d+(?:\.\d+)?\b')) <= 0.3 * {_WORDS}",
+    "jinja_template": "not (" + " or ".join(f"regexp_matches(text, {quoted(x)})" for x in filters.TEMPLATE_PATTERNS) + f" or len(regexp_extract_all(text, {quoted(filters.TEMPLATE_EXPRESSION)})) >= 2 or (contains(text, '{{%') and contains(text, '%}}')))",
+    "config_file": "len(parts) < 5 or len(list_filter(parts, lambda x: " + " or ".join(f"regexp_matches(x, {quoted(x)})" for x in filters.CONFIG_PATTERNS) + ")) <= 0.5 * len(parts)",
     "total_length": "length(text) <= 30696",
     "numeric_array_length": r"len(list_filter(list_transform(regexp_extract_all(text, '\[([^\]]+)\]', 1), lambda b: list_filter(list_transform(string_split(b, ','), lambda e: trim(e, ' ' || chr(9) || chr(10))), lambda e: e <> '')), lambda es: len(es) > 10 and len(list_filter(es, lambda e: not regexp_full_match(e, '-?\d+(\.\d+)?'))) = 0)) = 0",
     "import_ratio": f"len(parts) < 10 or {_COUNT('parts', chr(40) + 'starts_with(x, ' + chr(39) + 'import ' + chr(39) + ') or starts_with(x, ' + chr(39) + 'from ' + chr(39) + ') or (starts_with(x, ' + chr(39) + 'const ' + chr(39) + ') and contains(x, ' + chr(39) + 'require(' + chr(39) + '))' + chr(41))} <= 0.5 * len(parts)",
@@ -58,15 +62,13 @@ FILTER_SQL = {
     "test_file": f"{_COUNT('raw', _SIGNS(filters.TEST_SIGNS, 'x'))} <= 0.3 * len(raw)",
     "trivial_variable": r"len(regexp_extract_all(text, '\b(?:let|const|var)\s+([a-zA-Z_][a-zA-Z0-9_]*)\s*[=:]', 1)) < 3 or len(list_filter(regexp_extract_all(text, '\b(?:let|const|var)\s+([a-zA-Z_][a-zA-Z0-9_]*)\s*[=:]', 1), lambda x: x in ('a','b','c','d','e','x','y','z','i','j','k'))) <= 0.4 * len(regexp_extract_all(text, '\b(?:let|const|var)\s+([a-zA-Z_][a-zA-Z0-9_]*)\s*[=:]', 1))",
 }
-PARAMS = {"avg_line_length": {"most": AVERAGE}}
-FUNNEL = tuple(n for n in filters.ARKTS if n in FILTER_SQL)
-RULES = tuple(n for n in filters.RULES if n in FILTER_SQL)
+FUNNEL, RULES = filters.ARKTS, filters.RULES
 
 
 def _filter_query(name: str):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         out, t = filters.prepared(code(spark, sf), "text")
-        return out.select("doc_id", filters.FILTERS[name](t, **PARAMS.get(name, {})).alias("stays"))
+        return out.select("doc_id", filters.FILTERS[name](t).alias("stays"))
 
     return run
 
@@ -80,12 +82,12 @@ _REASON = lambda names: "case " + " ".join(f"when not coalesce({FILTER_SQL[n]},
 
 @query(f"with {LINES_SQL}, r as (select {_REASON(FUNNEL)} as reason from t) select coalesce(reason, 'kept') as reason, count(*) as n from r group by 1")
 def filter_funnel(spark, sf):
-    return filters.funnel(filters.with_reject_reason(code(spark, sf), FUNNEL, params=PARAMS))
+    return filters.funnel(filters.with_reject_reason(code(spark, sf), FUNNEL))
 
 
-@query()
+@query(f"with {LINES_SQL}, r as (select {_REASON(filters.TS)} as reason from t) select coalesce(reason, 'kept') as reason, count(*) as n from r group by 1")
 def filter_funnel_ts(spark, sf):
-    return filters.funnel(filters.with_reject_reason(code(spark, sf), filters.TS, params=PARAMS))
+    return filters.funnel(filters.with_reject_reason(code(spark, sf), filters.TS))
 
 
 _PLACES = ", ".join(f"('{n}', {i})" for i, n in enumerate(RULES))
@@ -106,7 +108,7 @@ def syntax_triage(spark, sf):
 
 @query()
 def filter_with_syntax(spark, sf):
-    first = filters.with_reject_reason(code(spark, sf), FUNNEL, params=PARAMS)
+    first = filters.with_reject_reason(code(spark, sf), FUNNEL)
     return filters.funnel(syntax.with_syntax_reason(first, clean.unescaped(F.col("text"))))
 
 
@@ -117,30 +119,62 @@ def _clean_query(change):
     return lambda spark, sf: code(spark, sf).select("doc_id", F.sha2(change(F.col("text"), F.col("path")), 256).alias("hash"))
 
 
+_WS = "' ' || chr(9) || chr(10) || chr(13)"
+_MASK = lambda x: rf"regexp_replace({x}, '(?is)-----BEGIN (?:RSA )?PRIVATE KEY-----.*?-----END (?:RSA )?PRIVATE KEY-----', '-----BEGIN PRIVATE KEY-----' || chr(10) || '<MASKED_PRIVATE_KEY>' || chr(10) || '-----END PRIVATE KEY-----', 'g')"
+_LEAD = lambda x: rf"case when trim({x}, {_WS}) = '' then '' else regexp_replace({x}, '\A(?:[^\S\n]*\n)+', '') end"
+_LICENCE = lambda x: rf"regexp_replace(regexp_replace({x}, '(?is)/\*+.*?(?:Copyright|Licensed).*?\*/\s*', '', 'g'), '\A\s+', '')"
+_HEAD = lambda x: rf"case when regexp_matches({x}, '(?i)\A\s*//[^\S\n]*[^\n]+\.ets[^\S\n]*(?:\n|\z)') then {x} else '// doc_' || doc_id || '.ets' || chr(10) || {x} end"
+_SIGN = " or ".join(f"contains(l, {quoted(x)})" for x in clean.CODE_SIGNS)
+_KINDS = lambda x: f"list_transform(string_split({x}, chr(10)), lambda l: case when trim(l, {_WS}) = '' then 0 when contains(l, '<') and contains(l, '>') and not ({_SIGN}) and not starts_with(trim(l, {_WS}), '//') then 1 else 2 end)"
+
+
+def _tag_sql(x: str, source: str) -> str:
+    """doc_id and ``x`` of the source as t, cut after the last header line before the first line of code."""
+    return (
+        f"select doc_id, array_to_string(lines[coalesce(list_max(list_filter(range(1, stop), lambda i: kinds[i] = 1)), 0) + 1:], chr(10)) as t from ("
+        f"select *, coalesce(nullif(list_position(kinds, 2), 0), len(kinds) + 1) as stop from (select doc_id, string_split({x}, chr(10)) as lines, {_KINDS(x)} as kinds from {source}))"
+    )
+
+
+_UNESCAPED = r"""regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(text, '\\n', chr(10)), '\\t', chr(9)), '\\r', chr(13)), '\\"', '"'), '\\''', ''''), '\\\\', '\'), '\\(.)', '\1', 'g'), '\r\n?', chr(10), 'g')"""
 _CLEANERS = {
-    "clean_private_key": (lambda t, p: clean.mask_private_key(t), r"regexp_replace(text, '(?is)-----BEGIN (?:RSA )?PRIVATE KEY-----.*?-----END (?:RSA )?PRIVATE KEY-----', '-----BEGIN PRIVATE KEY-----' || chr(10) || '<MASKED_PRIVATE_KEY>' || chr(10) || '-----END PRIVATE KEY-----', 'g')"),
-    "clean_leading_blank": (lambda t, p: clean.drop_leading_blank_lines(F.concat(F.lit(" \n\n"), t)), r"regexp_replace(' ' || chr(10) || chr(10) || text, '\A(?:[^\S\n]*\n)+', '')"),
-    "clean_licence_comment": (lambda t, p: clean.drop_licence_comments(t), r"regexp_replace(regexp_replace(text, '(?is)/\*+.*?(?:Copyright|Licensed).*?\*/\s*', '', 'g'), '\A\s+', '')"),
-    "clean_tag_header": (lambda t, p: clean.drop_tag_header(t), "case when doc_id % 6 = 2 then substr(text, instr(text, 'a.ets') + 6) else text end"),
+    "clean_private_key": (lambda t, p: clean.mask_private_key(t), _MASK("text")),
+    "clean_leading_blank": (lambda t, p: clean.drop_leading_blank_lines(F.concat(F.lit(" \n\n"), t)), _LEAD("(' ' || chr(10) || chr(10) || text)")),
+    "clean_licence_comment": (lambda t, p: clean.drop_licence_comments(t), _LICENCE("text")),
     "clean_line_comments": (lambda t, p: clean.drop_line_comments(t), r"regexp_replace(text, '//[^\n]*', '', 'g')"),
-    "ensure_header": (clean.ensure_header, "'// doc_' || doc_id || '.ets' || chr(10) || text"),
+    "ensure_header": (clean.ensure_header, _HEAD("text")),
     "leak_key": (lambda t, p: clean.leak_key(t), "replace(replace(lower(text), '-', ''), '_', '')"),
-    "normalize_for_syntax": (lambda t, p: clean.unescaped(F.concat(t, F.lit("x\\\\ny\\tz\r\n"))), "text || 'x' || chr(10) || 'ytz' || chr(10)"),
-    "markdown_text": (lambda t, p: clean.markdown_text(F.concat(F.lit("see ![alt](u.png) and ![](v.png) [t](x) "), t)), "trim('see !alt and  t ' || text, ' ' || chr(10))"),
+    "normalize_for_syntax": (lambda t, p: clean.unescaped(t), _UNESCAPED),
+    "normalize_text": (lambda t, p: clean.unescaped_and_stripped(t), f"trim({_UNESCAPED}, {_WS})"),
+    "markdown_text": (lambda t, p: clean.markdown_text(t), rf"trim(regexp_replace(regexp_replace(text, '\[([^\]]+)\]\([^)]+\)', '\1', 'g'), '!\[[^\]]*\]\([^)]+\)', '', 'g'), {_WS})"),
     "preview": (lambda t, p: preview(t), "case when length(text) > 200 then substring(text, 1, 200) || '...' else text end"),
 }
 for _name, (_change, _sql) in _CLEANERS.items():
     query(f"select doc_id, sha256({_sql}) as hash from ({CODE_SQL})", _name)(_clean_query(_change))
 
 
-@query()
+query(f"with s as (select * from ({CODE_SQL})), a as ({_tag_sql('text', 's')}) select doc_id, sha256(t) as hash from a", "clean_tag_header")(_clean_query(lambda t, p: clean.drop_tag_header(t)))
+
+
+@query(
+    f"with s as (select doc_id, {_MASK('text')} as t from ({CODE_SQL})), b as (select doc_id, {_LEAD('t')} as t from s), c as ({_tag_sql('t', 'b')}), d as (select doc_id, {_LICENCE('t')} as t from c),"
+    f" e as (select doc_id, {_LEAD('t')} as t from d) select doc_id, sha256({_HEAD('t')}) as hash from e"
+)
 def clean_pipeline(spark, sf):
-    return code(spark, sf).select("doc_id", clean.clean_code(F.col("text"), F.col("path")).alias("text"))
+    return code(spark, sf).select("doc_id", F.sha2(clean.clean_code(F.col("text"), F.col("path")), 256).alias("hash"))
 
 
-@query()
+_INDENT = "length(l) - length(ltrim(l, ' ' || chr(9)))"
+
+
+@query(
+    f"with x as (select doc_id, string_split('    ' || replace(text, chr(10), chr(10) || '    '), chr(10)) as ls from ({CODE_SQL})),"
+    f" m as (select *, coalesce(list_min(list_transform(list_filter(ls, lambda l: trim(l, {_WS}) <> ''), lambda l: {_INDENT})), 0) as n from x)"
+    f" select doc_id, sha256(trim(array_to_string(list_transform(ls, lambda l: case when trim(l, {_WS}) = '' then '' else substr(l, n + 1) end), chr(10)), {_WS})) as hash from m"
+)
 def dedent(spark, sf):
-    return code(spark, sf).select("doc_id", F.sha2(clean.dedented("text"), 256).alias("hash"))
+    indented = F.concat(F.lit("    "), F.replace(F.col("text"), F.lit("\n"), F.lit("\n    ")))
+    return code(spark, sf).select("doc_id", F.sha2(clean.dedented(indented), 256).alias("hash"))
 
 
 # ---- duplicates ----------------------------------------------------------------------------------------------------
@@ -212,7 +246,15 @@ def repo_url_match(spark, sf):
     return joins.matched_projects(names, urls)
 
 
-@query()
+_URLS = "select distinct 'https://host.example/' || replace(p_name, ' ', '/') as git_url from part where p_partkey % 2 = 0"
+_URL_ROWS = "select p_brand as file, replace(p_name, ' ', '-') as project_name, case when p_size > 10 then p_type end as repo_url from part"
+_VARIANTS = "(select project_name as v union all select left(project_name, i - 1) || '/' || substr(project_name, i + 1) from range(1, length(project_name) + 1) r(i) where substr(project_name, i, 1) = '-')"
+
+
+@query(
+    f"with u as ({_URLS}), p as ({_URL_ROWS}), n as (select project_name, exists (select 1 from u, {_VARIANTS} where contains(git_url, v)) as known from (select distinct project_name from p)), j as (select p.*, case when not known then project_name end as miss from p join n using (project_name))"
+    " select file, count(*) as rows, count(*) filter (where repo_url is null) as no_url, count(miss) as unmatched, count(distinct miss) as unmatched_names from j group by rollup(file)"
+)
 def repo_url_report(spark, sf):
     p = table(spark, sf, "part")
     rows = p.select(F.col("p_brand").alias("file"), F.regexp_replace("p_name", " ", "-").alias("project_name"), F.when(F.col("p_size") > 10, F.col("p_type")).alias("repo_url"))
@@ -257,13 +299,21 @@ def random_sample(spark, sf):
     return sample.random_sample(docs(spark, sf), 100).select("doc_id")
 
 
-@query()
+_BUCKET = "case when length(text) < 200 then '<200' when length(text) < 800 then '200-799' when length(text) < 2000 then '800-1999' when length(text) < 6000 then '2000-5999' else '>=6000' end"
+
+
+@query(
+    f"with d as (select *, {_BUCKET} as bucket from ({DOCS_SQL})), s as (select bucket, project_name, lang, count(*) as size, greatest(1, floor(count(*) / (select count(*) from d)::double * 120)) as share from d group by all), t as (select *, least(size, share) as base, 120 - sum(least(size, share)) over () as spare from s),"
+    " q as (select *, base + case when row_number() over (partition by base < size order by base - size, bucket, project_name, lang) <= spare and base < size then 1 else 0 end as quota from t),"
+    f" r as (select doc_id, bucket, project_name, lang, id, quota, row_number() over (partition by bucket, project_name, lang order by {_ORDER}) as place from d join q using (bucket, project_name, lang))"
+    f" select doc_id, bucket, project_name, lang from r where place <= quota order by {_ORDER} limit 120"
+)
 def stratified_sample(spark, sf):
     d = docs(spark, sf, "lang").withColumn("bucket", sample.length_bucket(F.length("text")))
     return sample.stratified_sample(d, 120, ["bucket", "project_name", "lang"]).select("doc_id", "bucket", "project_name", "lang")
 
 
-@query(f"select doc_id, case when length(text) < 200 then '<200' when length(text) < 800 then '200-799' when length(text) < 2000 then '800-1999' when length(text) < 6000 then '2000-5999' else '>=6000' end as bucket from documents")
+@query(f"select doc_id, {_BUCKET} as bucket from documents")
 def length_bucket(spark, sf):
     return docs(spark, sf).select("doc_id", sample.length_bucket(F.length("text")).alias("bucket"))
 
@@ -418,7 +468,10 @@ def decision_counts(spark, sf):
     return joins.concatenated(*judge.by_decision(judged(spark, sf)).values()).groupBy("decision").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(
+    "select doc_id::varchar as item_id, case length(text) % 3 when 0 then 'KEEP' when 1 then 'REMOVE' else 'KEEP_WITH_TAG' end as final_decision,"
+    " case when length(text) % 3 = 2 then 3.0 else least(5, length(text) % 9) end::double as final_arkts_score, case when length(text) % 3 = 2 then 0.3 else 0.5 end::double as final_confidence, 3::bigint as replicas from documents"
+)
 def llm_round_stub(spark, sf):
     def call(prompt: str, heat: float) -> str:
         return '```json\n{"decision": "%s", "labels": ["a"], "arkts_score": %d, "confidence": %s}\n```' % (("keep", "REMOVE", "x")[len(prompt) % 3], len(prompt) % 9, heat)
@@ -472,10 +525,23 @@ def project_from_url(spark, sf):
     return table(spark, sf, "pages").select("page_id", shape.project_of(F.col("url")).alias("project"))
 
 
-@query("select p_partkey, case p_partkey % 6 when 0 then 'Git' when 1 then 'Python' when 2 then 'C' when 3 then 'Unknown' when 4 then 'Archive' else 'Docker' end as language from part")
+_NAMES = (
+    ".gitignore", "a/.gitignore", "a/b.PY", "x.cxx", "x.unknownext", "d/y.tar.gz", "Dockerfile", "x.jsx", "X.TSX", "m.mm", "h.hs", "h.h", "c.cfg", "c.conf", "c.cmd", "q.clj",
+    "q.cljs.edn", "q.coffee", ".Pipfile", "b/.Pipfile", "my.package.json", "stack.yaml.lock", "a.b/c", "noending", "r.r", "end.", "go.mod", "x.poetry.lock",
+)
+_ENDINGS = ", ".join(f"({quoted(k)}, {quoted(v)}, {i})" for i, (k, v) in enumerate(shape.LANGUAGES.items()))
+_BARE = "lower(regexp_replace(regexp_extract(path, '([^/]*)/*$', 1), '^\\.+', ''))"
+
+
+@query(
+    f"with e(k, v, place) as (values {_ENDINGS}), n as (select p_partkey, [{', '.join(map(quoted, _NAMES))}][p_partkey % {len(_NAMES)} + 1] as path from part), f as (select distinct path, {_BARE} as bare from n),"
+    " g as (select f.path, coalesce((select v from e where k = f.path and starts_with(f.path, '.')), (select v from e where k = regexp_extract(bare, '(\\.[^.]+)$', 1)),"
+    " (select v from e where k = regexp_extract(bare, '^[^.]*(\\..*)$', 1) and not ends_with(bare, '.')), (select min_by(v, place) from e where contains(lower(f.path), lower(k))), 'Unknown') as language from f)"
+    " select p_partkey, language from n join g using (path)"
+)
 def language_from_filename(spark, sf):
-    names = F.array(*[F.lit(x) for x in (".gitignore", "a/b.PY", "x.cxx", "x.unknownext", "d/y.tar.gz", "Dockerfile")])
-    return table(spark, sf, "part").select("p_partkey", shape.language_of(F.element_at(names, (F.col("p_partkey") % 6 + 1).cast("int"))).alias("language"))
+    names = F.array(*[F.lit(x) for x in _NAMES])
+    return table(spark, sf, "part").select("p_partkey", shape.language_of(F.element_at(names, (F.col("p_partkey") % len(_NAMES) + 1).cast("int"))).alias("language"))
 
 
 @query("select doc_id, lang || '.ets' as edited, [source, lang]::varchar[] as labels from documents")
@@ -515,7 +581,7 @@ def search_word(spark, sf):
     return shape.search(_lines(spark, sf), "license", "word", True)
 
 
-@query(f"select file, line_number, substring(content, greatest(1, instr(content, 'the') - 42), 88 + least(0, instr(content, 'the') - 43) * 0) as preview from ({_LINES_TABLE}) where contains(content, 'the')")
+@query(f"select file, line_number, substring(content, greatest(1, instr(content, 'the') - 42), 88) as preview from ({_LINES_TABLE}) where contains(content, 'the')")
 def search_preview(spark, sf):
     return shape.search(_lines(spark, sf), "the").select("file", "line_number", shape.match_preview(F.col("content"), "the").alias("preview"))
 

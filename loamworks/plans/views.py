@@ -10,7 +10,29 @@ KEY = "-----BEGIN RSA PRIVATE KEY-----\nMIIabc\n-----END RSA PRIVATE KEY-----\n"
 HEADER = "<repo>sample\n\n<file>a.ets\n\n"
 REPEATED = "".join(f"static readonly entry_{c} = text;\n" for c in "abcdefgh")
 NUMBERS = "const table = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12];\n\n\n"
-PREFIXES = (LICENCE, KEY, HEADER, REPEATED, NUMBERS, "")
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+GENERATED = "// AUTO-GENERATED by a tool, do not edit\n"
+BLANKS = "let first = 1\n" + " \n" * 400
+COLONS = "".join(f"key_{i}: value of {c}\n" for i in range(10) for c in LETTERS)
+TRIVIAL = "let a = 1\nlet b = 2;\nvar c: number = 3\nconst x = 4\n"
+HAN = "".join(f"text('{'汉字测试文本' * 20}') // {c}\n" for c in LETTERS)
+VISIBILITY = "public one()\nprivate two()\n" * 7
+IMPORTS = "".join(f"import {{ {c}Part }} from './{c}'\n" for c in LETTERS * 3) + "const fs = require('fs')\n"
+COMMENTS = "".join(f"// what {c} does\n# {c}\n* {c}\n" for c in LETTERS * 2)
+TESTS = "".join(f"it('does {c}', () => expect({c}))\n" for c in LETTERS * 2)
+CONFIG = "".join(f'"{c}": "value",\n' for c in LETTERS * 2)
+TEMPLATE = "{{ user.name }} and {{ user.mail }}\n"
+LONG = "let total = " + "value + " * 4000 + "0\n"
+OWN_HEADER = "// src/Own.ets\nlet own = 1\n"
+ESCAPES = 'let s = "a\\\\nb\\\\tc\\qd"\n'
+LINKS = "see ![alt](u.png) and ![](v.png) [t](x)\n"
+SHORT = "".join(f"let part{c} = {c}(1)\n" for c in LETTERS * 9)
+DIGITS = "1 2 3 4.5 -6 7 8 9\n" * 400
+#: What comes before a text; None stands for no text at all.
+PREFIXES = (
+    LICENCE, KEY, HEADER, REPEATED, NUMBERS, "", None, GENERATED, BLANKS, COLONS, TRIVIAL, HAN, VISIBILITY, IMPORTS, COMMENTS, TESTS, CONFIG, TEMPLATE, LONG,
+    OWN_HEADER, ESCAPES, LINKS, SHORT, DIGITS,
+)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -28,26 +50,27 @@ def docs(spark: SparkSession, sf: str, *more: str) -> DataFrame:
 
 
 def code(spark: SparkSession, sf: str) -> DataFrame:
-    """The same with a block of code-like text before five texts in six."""
-    which = F.col("doc_id") % 6
-    prefix = F.lit("")
+    """The same with a block of code-like text, by the number, before most texts; one in so many is empty."""
+    which = F.col("doc_id") % len(PREFIXES)
+    text = F.lit("")
     for i, p in enumerate(PREFIXES):
-        prefix = F.when(which == i, F.lit(p)).otherwise(prefix)
-    return docs(spark, sf).withColumn("text", F.concat(prefix, F.col("text")))
+        text = F.when(which == i, F.lit("") if p is None else F.concat(F.lit(p), F.col("text"))).otherwise(text)
+    return docs(spark, sf).withColumn("text", text)
 
 
 def quoted(s: str) -> str:
-    return " || chr(10) || ".join("'" + x.replace("'", "''") + "'" for x in s.split("\n"))
+    """A string for SQL, in which line feeds are written as they are."""
+    return "'" + s.replace("'", "''") + "'"
 
 
 DOCS_SQL = "select doc_id, doc_id::varchar as id, source as project_name, source || '/' || lang || '/doc_' || doc_id || '.ets' as path, text, lang from documents"
-CODE_SQL = "select doc_id, id, project_name, path, (case doc_id % 6 " + " ".join(f"when {i} then {quoted(p)}" for i, p in enumerate(PREFIXES)) + f" end) || text as text from ({DOCS_SQL})"
+CODE_SQL = f"select doc_id, id, project_name, path, (case doc_id % {len(PREFIXES)} " + " ".join(f"when {i} then {quoted(p or '')} || {chr(39) * 2 if p is None else 'text'}" for i, p in enumerate(PREFIXES)) + f" end) as text from ({DOCS_SQL})"
 #: Line arrays as in the filters: this data has line feeds only.
 LINES_SQL = f"""
 base as (select * from ({CODE_SQL})),
 cut as (select *, string_split(text, chr(10)) as raw from base),
 lined as (
-  select *, case when raw[-1] = '' then raw[:-2] else raw end as lines,
+  select *, case when text = '' then [] when raw[-1] = '' then raw[:-2] else raw end as lines,
          list_filter(list_transform(raw, lambda x: trim(x, ' ' || chr(9))), lambda x: x <> '') as parts
   from cut
 ),

@@ -62,8 +62,12 @@ def write_partitioned(df: DataFrame, path: str, column: str) -> None:
 
 
 def write_report(df: DataFrame, path: str, most: int = 10_000) -> None:
-    """A small report as one indented JSON file, written through Spark so that any store will do."""
+    """A small report as one indented JSON file, written through Spark so that any store will do. A table of more than
+    ``most`` rows is no report and is refused, as nothing of it may be dropped; write it as JSON lines."""
     import json
 
-    rows = [r.asDict(recursive=True) for r in df.limit(most).collect()]
+    found = df.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rows; write_jsonl takes any number")
+    rows = [r.asDict(recursive=True) for r in found]
     df.sparkSession.createDataFrame([(json.dumps(rows, indent=4, ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
