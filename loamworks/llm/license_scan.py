@@ -18,8 +18,10 @@ WORDS = 5
 CONTAINMENT = 0.8
 BANDS = 16
 ROWS = 2
-#: Templates are a curated list: its shingles are literals of the plan and are broadcast. More are refused.
-MOST_SHINGLES = 100_000
+#: Template shingles that are literals of the plan, and rows of the template table that are broadcast, at most; more are
+#: joined by shuffle.
+LITERAL_SHINGLES = 100_000
+BROADCAST_ROWS = 500_000
 
 # Notices and short texts of public licences.
 TEMPLATES = {
@@ -105,16 +107,24 @@ def scan(docs: DataFrame, templates: dict[str, str], *, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     listed = spark.createDataFrame(list(templates.items()), "template_id string, text string").select("template_id", F.array_distinct(_first(shingle_hashes(F.col("text")))).alias("has"), F.size(_first(shingle_hashes(F.col("text")))).alias("n"))
-    rows = listed.where("n > 0").collect()  # a curated list
-    known = sorted({h for r in rows for h in r["has"]})
-    if len(known) > MOST_SHINGLES:
-        raise ValueError(f"{len(known)} template shingles; at most {MOST_SHINGLES} are taken at once")
-    sizes = sorted({r["n"] for r in rows})
-    table = F.broadcast(spark.createDataFrame([(r["template_id"], r["n"], r["has"]) for r in rows], "template_id string, n int, has array<bigint>").select("template_id", "n", "has", F.explode(_bands(F.col("has"))).alias("band")))
+    listed = listed.where("n > 0")
+    shingles = listed.select(F.explode("has").alias("hash")).distinct()
+    sizes = sorted(r["n"] for r in listed.select("n").distinct().collect())  # the lengths of a curated list
+    table = listed.select("template_id", "n", "has", F.explode(_bands(F.col("has"))).alias("band"))
+    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        table = F.broadcast(table)
 
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).select("doc_id", F.xxhash64("text").alias("text_key"), shingle_hashes(F.col("text")).alias("nested"))
     hashed = source.select("doc_id", "text_key", F.explode("nested").alias("hashes"))
-    shared = hashed.select("doc_id", "text_key", "hashes", F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda i: F.get("hashes", i).isin(known)).alias("at")).where(F.size("at") > 0)
+    known = [r["hash"] for r in shingles.limit(LITERAL_SHINGLES + 1).collect()]
+    if len(known) <= LITERAL_SHINGLES:
+        at = F.filter(F.sequence(F.lit(0), F.size("hashes") - 1), lambda i: F.get("hashes", i).isin(sorted(known)))
+        shared = hashed.select("doc_id", "text_key", "hashes", at.alias("at")).where(F.size("at") > 0)
+    else:  # only texts that share a shingle, found by a join on it, are looked at again
+        spelt = hashed.select("doc_id", "text_key", F.posexplode("hashes").alias("place", "hash"))
+        places = spelt.join(shingles, "hash").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("place")).alias("at"))
+        first = hashed.groupBy("doc_id", "text_key").agg(F.first("hashes").alias("hashes")).withColumnRenamed("doc_id", "__id")
+        shared = places.join(first, "text_key").where(F.col("doc_id").eqNullSafe(F.col("__id"))).select("doc_id", "text_key", "hashes", "at")
     starts = F.flatten(F.array(*[_window_starts(F.col("at"), n) for n in sizes]))
     step = F.greatest(F.lit(1), F.floor(F.col("n") / 8)).cast("int")
     windows = shared.select("doc_id", "text_key", "hashes", F.explode(starts).alias("w")).select("doc_id", "text_key", "hashes", "w.n", "w.start")
