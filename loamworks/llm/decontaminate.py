@@ -3,7 +3,7 @@
 Texts and benchmark items are brought to a canonical form in which numbers, names and units are typed placeholders.
 Windows of five canonical words are hashed and joined; an item of whose words the matched windows cover 0.8 or more is
 found in the text, if its slots are filled consistently: wherever the item repeats a value, so does the text, each
-with its own. So a question with other numbers and names is caught, and a chance mixture of its windows is not. Capitals
+with its own, however many words came in between. So a question with other numbers and names is caught, and a chance mixture of its windows is not. Capitals
 in mid-sentence are names; at the start of a sentence they may be, so texts and items are also read with all capitalised
 words as names, and with none. The queries also take near verbatim copies, whose unchanged windows alone cover 0.8.
 """
@@ -62,8 +62,9 @@ def _window(words: str, i: Column) -> Column:
 
 
 def _text_windows(df: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, raw, at, window: the hash of each run of five canonical words of ``raw``, and where they differ also those
-    with every capitalised word as a name and those with none."""
+    """keys, words, at, window: the hash of each run of five canonical words, where it starts, and the words themselves;
+    where they differ also those with every capitalised word as a name and those with none. A row holds five words and
+    never the text, so that a shuffle of the windows stays in proportion to it."""
     once = lambda c: F.explode(F.array(c))  # for all that read it
     held = df.select(*keys, once(F.struct(F.col("raw").alias("marked"), F.transform("raw", _bare).alias("raw"))).alias("h")).select(*keys, "h.*").where(F.size("raw") >= WORDS)
     held = held.select(*keys, "marked", "raw", once(F.transform(_canon("raw"), lambda w: F.xxhash64(w))).alias("none"))
@@ -81,7 +82,7 @@ def _text_windows(df: DataFrame, keys: list[str]) -> DataFrame:
     of = lambda form, at: F.transform(at, lambda i: F.struct(i.alias("at"), _window(form, i).alias("window")))
     windows = F.concat(of("some", F.sequence(F.lit(0), last)), of("every", differ("every")), of("none", differ("none")))
     # made once as well: of what inline() reads itself, Spark also makes a filter
-    return held.select(*keys, "raw", once(windows).alias("windows")).select(*keys, "raw", F.inline("windows"))
+    return held.select(*keys, "raw", once(windows).alias("windows")).select(*keys, "raw", F.inline("windows")).select(*keys, "at", "window", F.slice("raw", F.col("at") + 1, WORDS).alias("words"))
 
 
 def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -150,17 +151,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", te
     if items.count() <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
     exploded = _text_windows(docs.select(docs[id_col].alias("doc_id"), F.xxhash64(docs[text_col]).alias("text_key"), raw_words(docs[text_col]).alias("raw")), ["doc_id", "text_key"])
-    pair = lambda k: F.struct(F.get("item_raw", F.lit(k)).alias("item"), F.get("raw", F.col("at") + k).alias("doc"))
+    pair = lambda k: F.struct((F.col("item_at") + k).alias("place"), F.get("item_raw", F.lit(k)).alias("item"), F.get("words", F.lit(k)).alias("doc"))
     slots = F.filter(F.array(*[F.when(F.get("item_canon", F.lit(k)).isin("@", "#", "&"), pair(k)) for k in range(WORDS)]), lambda p: p.isNotNull())
     hits = exploded.join(items, "window").select("doc_id", "text_key", "item_id", "form", "coverable", "item_at", (F.col("at") - F.col("item_at")).alias("shift"), slots.alias("slots"))
     changed = lambda c: F.exists(c, lambda p: p["item"] != p["doc"])
     # All windows of a text are in one task, so these combine before the shuffle; sets are bounded by the item.
     lined = hits.groupBy("doc_id", "text_key", "item_id", "form", "coverable", "shift").agg(F.collect_set("item_at").alias("starts"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"), F.collect_set(F.when(~changed("slots"), F.col("item_at"))).alias("same"))
+    # A slot of other many words shifts what follows. Each place of the item is read from the shift that covers most (the
+    # first of equal ones) of those that hold it, so that a chance hit elsewhere decides nothing.
+    runs = F.array_sort(F.collect_list(F.struct((-F.size("starts")).alias("less"), "shift", "slots")))
+    places = lambda m: F.transform(m, lambda p: p["place"])
+    merged = F.aggregate(runs, F.array().cast("array<struct<place: int, item: string, doc: string>>"), lambda got, r: F.concat(got, F.filter(r["slots"], lambda p: ~F.array_contains(places(got), p["place"]))))
     whole = lined.groupBy("doc_id", "text_key", "item_id", "form", "coverable").agg(
         F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"),
         F.array_distinct(F.flatten(F.collect_list("same"))).alias("same"),
-        F.max_by("slots", F.struct(F.size("starts"), -F.col("shift"))).alias("slots"),
+        merged.alias("placed"),
     )
+    whole = whole.withColumn("slots", F.array_distinct(F.transform("placed", lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc")))))
     filled = F.array_distinct(F.transform("slots", lambda p: p["item"]))
     accepted = F.size(filled) == F.size("slots")
     if near_verbatim:

@@ -224,6 +224,34 @@ def test_licences(spark):
     assert license_scan.scan(docs(spark, []), license_scan.TEMPLATES).count() == 0
 
 
+@pytest.mark.parametrize(("literals", "rows"), [(100_000, 500_000), (0, 0)])
+def test_licences_equal_plain_search(spark, monkeypatch, literals, rows):
+    """Every window of a template's length, by brute force, against the banded search, also past its limits."""
+    monkeypatch.setattr(license_scan, "LITERAL_SHINGLES", literals)
+    monkeypatch.setattr(license_scan, "BROADCAST_ROWS", rows)
+    rng = np.random.default_rng(3)
+    texts = []
+    for i, (name, text) in enumerate(license_scan.TEMPLATES.items()):
+        words = text.split()
+        for lost in (0, 1, 2, len(words) // 4):
+            kept = [w for k, w in enumerate(words) if k not in set(rng.choice(len(words), min(lost, len(words) - 1), replace=False).tolist())]
+            texts.append(" ".join([*(f"w{k}" for k in rng.integers(0, 99, i)), *kept, *(f"w{k}" for k in rng.integers(0, 99, 7))]))
+    texts += [None, "", "four words are few", "word " * 30_000 + license_scan.TEMPLATES["mit"], "x" * 200_000]
+    table = docs(spark, [*enumerate(texts), (0, texts[0]), (None, texts[4])])
+    split = lambda t: [w for w in "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()]
+    runs = lambda t: [tuple(x) for x in zip(*(split(t)[k:] for k in range(5)))]
+    want, near = set(), set()
+    for i, t in [*enumerate(texts), (None, texts[4])]:
+        own = runs(t)
+        for name, template in license_scan.TEMPLATES.items():
+            has, n = set(runs(template)), len(runs(template))
+            step = max(1, n // 8)
+            best = max((len(has & set(own[max(0, s - step) : s + n + step])) / len(has) for s in range(0, len(own), step)), default=0) if set(own) & has else 0
+            (want if best >= 0.8 else near).add((i, name))
+    got = {(r["doc_id"], r["template_id"]) for r in license_scan.scan(table, license_scan.TEMPLATES).collect()}
+    assert got <= want and len(got) >= 0.98 * len(want) and all((i * 4, name) in got for i, name in enumerate(license_scan.TEMPLATES))
+
+
 ITEM = "A train leaves Boston at 9 and runs 60 km each hour while Alice walks 5 km home, and after 60 minutes Alice meets it near the old bridge."
 
 
@@ -240,6 +268,18 @@ def test_reparameterised_questions(spark):
     assert decontaminate.matches(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_slots_beyond_a_longer_one_are_checked(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", limit)
+    monkeypatch.setattr(decontaminate, "BROADCAST_TEXTS", limit)
+    item = "a farmer sells 40 sacks of grain at the old market in Boston and then he carries the rest of 40 sacks home to the barn by the river"
+    rows = [(1, item), (2, item.replace("Boston", "New York")), (3, item.replace("40", "70")), (4, item.replace("40", "70").replace("Boston", "New York"))]
+    rows += [(5, item.replace("40", "50", 1).replace("40", "70")), (6, item.replace("40", "50", 1).replace("40", "70").replace("Boston", "New York")), (7, None), (8, "word " * 30_000 + item), (9, "")]
+    bench = spark.createDataFrame([(10, item)], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.matches(docs(spark, rows), bench).collect()} == {1, 2, 3, 4, 8}
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminated(docs(spark, rows), bench).collect()) == [5, 6, 7, 9]
+
+
 def test_names_that_open_sentences(spark):
     item = "Tom has 3 apples. Tom buys 4 more at the market. Tom eats 2 of them. How many apples does Tom have left?"
     other = item.replace("Tom", "Anna").replace("3", "7").replace("4", "9").replace("2", "5")
