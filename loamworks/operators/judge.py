@@ -16,6 +16,7 @@ JUDGEMENT = (
     "decision string, labels array<string>, arkts_score double, quality_score double, confidence double, rationale string, "
     "model string, temperature double, prompt_tokens bigint, completion_tokens bigint, total_tokens bigint, raw_response string"
 )
+USAGE = ("prompt_tokens", "completion_tokens", "total_tokens")
 PARSED = "decision string, labels array<string>, arkts_score double, quality_score double, confidence double, rationale string"
 
 
@@ -105,31 +106,39 @@ def by_decision(df: DataFrame, decision_col: str = "decision") -> dict[str, Data
 
 
 def judge(items: DataFrame, call: Callable[[str, float], str], template: str, *, key: str = "item_id", text_col: str = "text", replicas: int = 3, temperatures: tuple[float, ...] = (0.2, 0.5, 0.8), model: str = "stub", concurrency: int | None = None) -> DataFrame:
-    """Judgements of every item by every replica. ``call(prompt, temperature)`` is the connection to a model; a failed
-    call or an unreadable reply becomes a judgement that keeps the row with a tag."""
+    """Judgements of every item by every replica, in the columns of ``JUDGEMENT``. ``call(prompt, temperature)`` is the
+    connection to a model: it returns the reply, or a reply and its usage (prompt_tokens, completion_tokens,
+    total_tokens). A connection's error (OSError) or an unreadable reply becomes a judgement that keeps the row with a
+    tag; any other failure one of the item ``UNKNOWN``, so that a resumed run judges the item again."""
     # plain strings, so that executors need nothing but the callable
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            replies = []
-            for text, heat in zip(f["text"], f["temperature"]):
+            out = []
+            for item, replica, text, heat in zip(f["item_id"], f["replica"], f["text"], f["temperature"]):
+                reply, usage, error = None, {}, None
                 try:
-                    replies.append((call(template.replace("{code}", text or ""), heat), None))
-                except Exception as e:  # noqa: BLE001  whatever a connection raises is an answer of its own
-                    replies.append((None, str(e)[:400]))
-            yield pd.DataFrame({"item_id": f["item_id"], "replica": f["replica"], "temperature": f["temperature"], "raw_response": [r for r, _ in replies], "error": [e for _, e in replies]})
+                    got = call(template.replace("{code}", text or ""), heat)
+                    reply, usage = got if isinstance(got, tuple) else (got, {})
+                except OSError as e:
+                    error = f"API_ERROR {e}"[:400]
+                except Exception as e:  # noqa: BLE001  whatever else a caller's code raises
+                    item, error = "UNKNOWN", f"EXEC_ERROR {e}"[:400]
+                out.append((item, replica, heat, reply, error, *(usage.get(k) for k in USAGE)))
+            yield pd.DataFrame(out, columns=["item_id", "replica", "temperature", "raw_response", "error", *USAGE]).astype(dict.fromkeys(USAGE, "Int64"))
 
     heats = F.array(*[F.lit(t) for t in temperatures])
     jobs = items.select(F.col(key).cast("string").alias("item_id"), F.col(text_col).alias("text"), F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))).alias("replica"))
     jobs = jobs.withColumn("temperature", F.element_at(heats, F.least(F.col("replica"), F.lit(len(temperatures) - 1)) + 1))
     if concurrency:
         jobs = jobs.repartition(concurrency)
-    answers = jobs.mapInPandas(run, "item_id string, replica int, temperature double, raw_response string, error string")
+    answers = jobs.mapInPandas(run, "item_id string, replica int, temperature double, raw_response string, error string, " + ", ".join(f"{k} bigint" for k in USAGE))
     made = answers.withColumn("j", validated(extracted_json("raw_response")))
     fallback = lambda label, sure, why: F.struct(F.lit("KEEP_WITH_TAG").alias("decision"), F.array(F.lit(label)).alias("labels"), F.lit(3.0).alias("arkts_score"), F.lit(3.0).alias("quality_score"), F.lit(sure).alias("confidence"), why.alias("rationale"))
-    failed = fallback("API_ERROR", 0.2, F.coalesce("error", F.lit("")))
+    reason = F.regexp_replace("error", "^[A-Z_]+ ", "")
+    failed = F.when(F.col("error").startswith("EXEC_ERROR"), fallback("EXEC_ERROR", 0.2, reason)).otherwise(fallback("API_ERROR", 0.2, reason))
     unread = fallback("PARSE_ERROR", 0.3, F.lit("the reply holds no judgement"))
-    return made.withColumn("j", F.when(F.col("error").isNotNull(), failed).otherwise(F.coalesce("j", unread))).select("item_id", "replica", "j.*", F.lit(model).alias("model"), "temperature", "raw_response")
+    return made.withColumn("j", F.when(F.col("error").isNotNull(), failed).otherwise(F.coalesce("j", unread))).select("item_id", "replica", "j.*", F.lit(model).alias("model"), "temperature", *USAGE, "raw_response")
 
 
 def resumed(items: DataFrame, judged: DataFrame, key: str = "item_id") -> DataFrame:
@@ -137,6 +146,101 @@ def resumed(items: DataFrame, judged: DataFrame, key: str = "item_id") -> DataFr
     return items.join(judged.select(key).distinct(), key, "left_anti")
 
 
+def full_run(items: DataFrame, path: str, call: Callable[[str, float], str], template: str, *, key: str = "item_id", **more) -> tuple[DataFrame, DataFrame]:
+    """Judge the items that the table at ``path`` (JSON lines, appended to) has no judgement of, and return all judgements
+    with the items' other columns, and the summary. A run that broke off goes on where it was: what it wrote stays."""
+    from loamworks.operators.joins import with_originals
+
+    spark = items.sparkSession
+    kind = f"item_id string, replica int, {JUDGEMENT}"
+    past = Path(spark, path)
+    todo = items.withColumn(key, F.col(key).cast("string"))
+    if past.exists():
+        done = spark.read.schema(kind).json(path).where("item_id <> 'UNKNOWN'")
+        todo = resumed(todo, done.withColumnRenamed("item_id", key), key)
+    judge(todo, call, template, key=key, **more).write.mode("append").json(path)
+    judged = spark.read.schema(kind).json(path)
+    own = items.withColumn("item_id", F.col(key).cast("string"))
+    return with_originals(judged, own, "item_id"), summary(own, judged)
+
+
+class Path:
+    """A path of any file system that Spark knows."""
+
+    def __init__(self, spark, path: str) -> None:
+        self.path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.system = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return bool(self.system.exists(self.path))
+
+
+def summary(items: DataFrame, judgements: DataFrame, text_col: str = "text") -> DataFrame:
+    """The consensus of each judged item, rounded, with its source, language and length."""
+    has = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in items.columns else F.lit("")
+    known = items.select("item_id", has("source").alias("source"), has("lang").alias("lang"), F.length(F.coalesce(F.col(text_col), F.lit(""))).alias("len_chars"))
+    return consensus(judgements).join(known, "item_id", "left")
+
+
+def usage_totals(judgements: DataFrame) -> DataFrame:
+    """Judgements, distinct items, failures by kind and tokens, in one row."""
+    labelled = lambda x: F.count_if(F.array_contains("labels", x))
+    tokens = [F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in USAGE]
+    return judgements.agg(F.count("*").alias("judgements"), F.count_distinct("item_id").alias("items"), *[labelled(x).alias(x.lower()) for x in ("API_ERROR", "PARSE_ERROR", "EXEC_ERROR")], *tokens)
+
+
+def merged_categories(rounds: list[DataFrame]) -> DataFrame:
+    """category, n: counts (category, n) of several rounds added up."""
+    from loamworks.operators.joins import concatenated
+
+    return concatenated(*rounds).groupBy("category").agg(F.sum("n").alias("n"))
+
+
+def rules_from(report: DataFrame, call: Callable[[str, float], str], most: int = 20) -> list[dict]:
+    """Rules (name, description, implementation, thresholds, expected_impact) that a model draws up from the reasons of each
+    of the ``most`` largest categories; an unreadable answer gives none. A report has a row a category, so this is done
+    on the driver."""
+    rules = []
+    for r in report.orderBy(F.desc("n"), "category").limit(most).collect():
+        prompt = f"Category: {r['category']}\nRows: {r['n']}\nReasons:\n" + "\n".join(f"- {x}" for x in r["reasons"])
+        try:
+            got = json.loads(json_object(call(prompt, 0.2)) or "null")
+            rules.append({"name": str(got["name"]), **{k: str(got.get(k, "")) for k in ("description", "implementation", "expected_impact")}, "thresholds": dict(got.get("thresholds") or {})})
+        except (OSError, ValueError, KeyError, TypeError):
+            continue
+    return rules
+
+
+def integrated(df: DataFrame, rules: list[dict], text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The rows with ``reject_reason`` by the filters that the rules stand for, in the rules' order (each filter once; rules
+    that stand for none are left out), and what each filter applied to and rejected."""
+    from loamworks.operators.filters import filter_statistics, rule_for, with_reject_reason
+
+    names = tuple(dict.fromkeys(n for r in rules if (n := rule_for(r["name"], r.get("implementation", ""))) is not None))
+    if not names:
+        none = df.sparkSession.createDataFrame([], "filter string, applied long, filtered long, rate double")
+        return df.withColumn("reject_reason", F.lit(None).cast("string")), none
+    out = with_reject_reason(df, names, text_col)
+    return out, filter_statistics(out, names)
+
+
+def rule_rounds(df: DataFrame, detect: Callable[[DataFrame, int], DataFrame], call: Callable[[str, float], str], rounds: int = 3, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The rows that stay after several rounds, and the categories of all rounds. In each, ``detect(rows, round)`` finds
+    dirty rows (as ``dirty_rows`` returns them), rules are drawn up from its report and applied; a round without a rule
+    is the last. Rows between rounds are checkpointed."""
+    from loamworks.operators.ordering import checkpointed
+
+    counts = []
+    for n in range(rounds):
+        report = checkpointed(category_report(detect(df, n)))
+        counts.append(report.select("category", "n"))
+        rules = rules_from(report, call)
+        if not rules:
+            break
+        df = checkpointed(integrated(df, rules, text_col)[0].where("reject_reason is null").drop("reject_reason"))
+    return df, merged_categories(counts)
+
+
 def dirty_rows(items: DataFrame, call: Callable[[str, float], str], template: str, *, key: str = "item_id", text_col: str = "text") -> DataFrame:
     """is_dirty, category, reason, confidence; a failed call or reply counts as clean, of category ``error``."""
 

@@ -276,6 +276,74 @@ def text_field(columns: list[str]) -> str | None:
     return next((c for c in ("text", "content", "code") if c in columns), None)
 
 
+def with_text(df: DataFrame) -> DataFrame:
+    """The table with a column ``text``: its own, else ``content``, else ``code``; a table with none of them has no rows to
+    go on with and comes back empty."""
+    found = text_field(df.columns)
+    if found is None:
+        return df.limit(0).withColumn("text", F.lit(None).cast("string"))
+    return df if found == "text" else df.withColumn("text", F.col(found))
+
+
+def parsed(line: Column, ddl: str) -> Column:
+    """A line's JSON object as a struct; null for anything else, blank lines included."""
+    return F.when(line.rlike(r"^\s*\{"), F.from_json(line, ddl, {"mode": "PERMISSIVE"}))
+
+
+def concat_statistics(df: DataFrame, kind: str | None = None) -> DataFrame:
+    """One row of counters over raw completion records: how many, processed by kind, skipped, with missing fields, tags
+    replaced or not (and the paths of the latter, sorted), ids made from a path, fields renamed, imported code found."""
+    kind = kind or record_kind(df.columns)
+    has = lambda c: F.col(c) if c in df.columns else F.lit(None)
+    some = lambda c: F.coalesce(c.cast("string"), F.lit("")) != ""
+    zero = F.lit(0).cast("long")
+    fields, prompts = kind == "fields", kind == "prompt"
+    lacks = F.lit(False)
+    for f in ("above_functions", "source_method_code", "below_functions"):
+        lacks = lacks | has(f).isNull()
+    tagged = F.coalesce(prompt_text(has("prompt").cast("string")).contains(TAG), F.lit(False))
+    filled = tagged & (F.coalesce(response_code(has("response").cast("string")), F.lit("")) != "")
+    path = has("filePath") if fields else F.coalesce(has("relativePath").cast("string"), project_of(has("repoUrl").cast("string")))
+    renamed = [F.count_if(has(c).isNotNull()) for c in (("projectName", "filePath") if fields else ("projectName", "relativePath"))]
+    count = lambda on, c: (F.count_if(c) if on else zero)
+    return df.agg(
+        F.count("*").alias("total"),
+        count(fields, ~lacks).alias("fields_processed"),
+        count(prompts, some(prompt_text(has("prompt").cast("string"))) & (~tagged | filled)).alias("prompt_processed"),
+        count(not (fields or prompts), F.lit(True)).alias("skipped"),
+        count(fields, lacks).alias("missing_fields"),
+        count(prompts, filled).alias("tags_replaced"),
+        count(prompts, tagged & ~filled).alias("tags_left"),
+        F.array_sort(F.collect_set(F.when(F.lit(prompts) & tagged & ~filled, path.cast("string")))).alias("left_paths"),
+        F.count_if(some(path)).alias("ids_from_path"),
+        (renamed[0] + renamed[1]).alias("fields_renamed"),
+        count(prompts, some(imported_code(has("prompt").cast("string")))).alias("imported_found"),
+    )
+
+
+def repo_rollup(status: DataFrame) -> DataFrame:
+    """status, n, percent of (repo, status): scans, repairs or downloads."""
+    from loamworks.operators.tokens import distribution
+
+    return distribution(status, "status")
+
+
+def in_split_order(df: DataFrame, column: str = "split", *order: str) -> DataFrame:
+    """Training, validation, test and unused rows, then the rest, each by ``order``."""
+    place = F.when(F.col(column) == "train", 0).when(F.col(column) == "valid", 1).when(F.col(column) == "test", 2).when(F.col(column) == "unused", 3).otherwise(4)
+    return df.orderBy(place, *order)
+
+
+def by_project(df: DataFrame, *order: str) -> DataFrame:
+    """By project, rows without one first, then by ``order``."""
+    return df.orderBy(F.coalesce("project_name", F.lit("")), *order)
+
+
+def head_for(main: DataFrame, other: DataFrame, ratio: float, *order: str) -> DataFrame:
+    """As many of the main corpus's first rows as ``ratio`` times the other's rows."""
+    return main.orderBy(*order).limit(int(other.count() * ratio))
+
+
 def language_of(path: Column, table: dict[str, str] = LANGUAGES) -> Column:
     """Of a path that starts with a dot the whole, else by the last ending, all endings, then the first entry that the path
     contains; ``Unknown`` for any other. A null path is unknown."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loamworks.functions.text import preview
 from loamworks.operators import augment, clean, dedup, filters, joins, judge, markdown, ordering, sample, shape, syntax, tokens
 from loamworks.plans.views import CODE_SQL, DOCS_SQL, LINES_SQL, code, docs, quoted
+from loamworks.sources import files
 from loamworks.streaming import clean_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -596,10 +597,113 @@ def html_to_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", markdown.html_to_text(F.col("html")).alias("text"))
 
 
-@query()
+@query(
+    "with d as (select doc_id, sha1(source || '/' || lang || '/doc_' || doc_id || '.ets') as p, source || '/' || lang || '/doc_' || doc_id || '.ets' as path, source from documents), k as (select * from (values ('let a = 1;', 1, 0), ('let b = 2;', 2, 0)) k(code, section, block)),"
+    " r as (select *, p || '_' || section || '_' || block || '_' || left(sha1(code), 8) as key, 'Section: Guide' || case section when 1 then ' / ' || source else ' / Deep' end || chr(10) || 'Summary:' || chr(10) || case section when 1 then 'see b' else '- size: how large' || chr(10) || '- onClick runs it' end as told from d, k)"
+    " select 'doc_inject:' || key as id, path, sha256('<DOC>' || chr(10) || told || chr(10) || 'Props:' || chr(10) || '- size: how large' || chr(10) || 'Events:' || chr(10) || '- onClick runs it' || chr(10) || '</DOC>' || chr(10) || '<CODE>' || chr(10) || code || chr(10) || '</CODE>') as hash from r"
+    " union all select 'pure_code:' || key, path, sha256(code) from r"
+)
 def markdown_records(spark, sf):
-    page = F.concat(F.lit("# Guide\nsee [a](b)\n## "), "project_name", F.lit("\n"), "text", F.lit("\n```ts\n  let a = 1;\n```\n```python\nx\n```\n"))
-    return markdown.extract(docs(spark, sf).select("path", page.alias("text")))
+    page = F.concat(F.lit("# Guide\n## "), "project_name", F.lit("\nsee [b](c)\n```ts\n  let a = 1;\n```\n```python\nx\n```\n## Deep\n- [size](number): how large\n- onClick runs it\n```js\nlet b = 2;\n```\n```ts\nopen\n"))
+    return markdown.extract(docs(spark, sf).select("path", page.alias("text"))).select("id", "path", F.sha2("text", 256).alias("hash"))
+
+
+@query(
+    "select (select count(*) from documents) as total, (select count(*) from documents where doc_id % 4 <> 0) as prompt_processed, (select count(*) from documents where doc_id % 4 <> 0) as tags_replaced,"
+    " (select count(*) from documents where doc_id % 4 = 0) as tags_left, (select array_to_string(list_sort(list_distinct(list(source))), ',') from documents where doc_id % 4 = 0) as left_paths"
+)
+def concat_statistics(spark, sf):
+    return shape.concat_statistics(prompts(spark, sf)).select("total", "prompt_processed", "tags_replaced", "tags_left", F.array_join("left_paths", ",").alias("left_paths"))
+
+
+@query("select doc_id, sha256(text) as hash from documents")
+def text_fallback(spark, sf):
+    return shape.with_text(docs(spark, sf).withColumnRenamed("text", "content")).select("doc_id", F.sha2("text", 256).alias("hash"))
+
+
+@query("select doc_id, case when doc_id % 3 = 0 then null else lang end as lang from documents")
+def safe_json(spark, sf):
+    line = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("broken "), F.col("lang"))).otherwise(F.to_json(F.struct("lang")))
+    return docs(spark, sf, "lang").select("doc_id", shape.parsed(line, "lang string")["lang"].alias("lang"))
+
+
+@query(f"select status, count(*) as n, round(100.0 * count(*) / (select count(distinct p_brand) from part), 6) as percent from (select repo, case when not g and not o then 'empty' when not g then 'invalid' when not o then 'incomplete' else 'complete' end as status from (select repo, coalesce(bool_or(starts_with(path, '.git/')), false) as g, coalesce(bool_or(not starts_with(path, '.git/')), false) as o from ({_REPO_FILES}) group by 1)) group by 1")
+def repo_rollup(spark, sf):
+    return shape.repo_rollup(repo_status(spark, sf))
+
+
+_SPLIT = "case doc_id % 5 when 0 then 'train' when 1 then 'valid' when 2 then 'test' when 3 then 'unused' else 'other' end"
+
+
+@query(f"select doc_id, {_SPLIT} as split from (select * from documents order by case {_SPLIT} when 'train' then 0 when 'valid' then 1 when 'test' then 2 when 'unused' then 3 else 4 end, doc_id limit 70)")
+def split_order(spark, sf):
+    k = F.col("doc_id") % 5
+    split = F.when(k == 0, "train").when(k == 1, "valid").when(k == 2, "test").when(k == 3, "unused").otherwise("other")
+    return shape.in_split_order(docs(spark, sf).select("doc_id", split.alias("split")), "split", "doc_id").limit(70)
+
+
+@query("select doc_id, project_name from (select doc_id, case when doc_id % 4 = 0 then null else source end as project_name from documents) order by coalesce(project_name, ''), doc_id limit 60")
+def project_order(spark, sf):
+    d = docs(spark, sf).withColumn("project_name", F.when(F.col("doc_id") % 4 != 0, F.col("project_name")))
+    return shape.by_project(d, "doc_id").select("doc_id", "project_name").limit(60)
+
+
+@query("select doc_id from documents order by doc_id limit (select floor(count(*) * 1.5)::bigint from benchmark)")
+def corpus_head(spark, sf):
+    return shape.head_for(docs(spark, sf), table(spark, sf, "benchmark"), 1.5, "doc_id").select("doc_id")
+
+
+@query("select category, count(*) * 2 as n from (select case doc_id % 3 when 0 then 'noise' when 1 then 'short' else 'fine' end as category from documents) group by 1")
+def merged_categories(spark, sf):
+    k = F.col("doc_id") % 3
+    one = docs(spark, sf).groupBy(F.when(k == 0, "noise").when(k == 1, "short").otherwise("fine").alias("category")).agg(F.count("*").alias("n"))
+    return judge.merged_categories([one, one])
+
+
+def _trip(spark: SparkSession, tag: str) -> str:
+    """A folder of its own in the shared folder, for a table that is written and read again."""
+    import uuid
+
+    named = spark.conf.get("spark.checkpoint.dir", None) or ordering.LOCAL_CHECKPOINTS
+    return f"{named.rstrip('/')}/loamworks-trip-{tag}-{uuid.uuid4().hex}"
+
+
+@query("select doc_id, lang, sha256(text) as hash from documents")
+def jsonl_round_trip(spark, sf):
+    path = _trip(spark, "jsonl")
+    files.write_jsonl(table(spark, sf, "documents").select("doc_id", "lang", "text"), path)
+    return files.read_jsonl(spark, path, "doc_id long, lang string, text string").select("doc_id", "lang", F.sha2("text", 256).alias("hash"))
+
+
+@query("select c_custkey, c_name, c_mktsegment from customer")
+def csv_round_trip(spark, sf):
+    path = _trip(spark, "csv")
+    files.write_csv(table(spark, sf, "customer").select("c_name", "c_custkey", "c_mktsegment"), path)
+    return spark.read.option("header", True).schema("c_custkey long, c_mktsegment string, c_name string").csv(path)
+
+
+@query("select l_returnflag, count(*) as n from lineitem group by 1")
+def partitioned_round_trip(spark, sf):
+    path = _trip(spark, "parts")
+    files.write_partitioned(table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag"), path, "l_returnflag")
+    return spark.read.schema("l_orderkey long, l_returnflag string").json(path).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("select n_nationkey, n_name, n_regionkey from nation")
+def report_round_trip(spark, sf):
+    path = _trip(spark, "report")
+    files.write_report(table(spark, sf, "nation"), path)
+    return files.read_json(spark, path).select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"))
+
+
+@query("select doc_id, unnest(range(len(string_split(text, chr(10)))))::int as line_number, sha256(unnest(string_split(text, chr(10)))) as hash from documents where doc_id % 50 = 0")
+def line_scan(spark, sf):
+    """Whole files, a folder a text, read back line by line."""
+    path = _trip(spark, "lines")
+    some = table(spark, sf, "documents").where("doc_id % 50 = 0").select("text", "doc_id")
+    some.repartition("doc_id").write.partitionBy("doc_id").option("maxRecordsPerFile", 1).text(path)
+    name = F.regexp_extract("_metadata.file_path", r"doc_id=(\d+)", 1).cast("long")
+    return files.read_lines(spark, path, name.alias("doc_id")).select("doc_id", "line_number", F.sha2("content", 256).alias("hash"))
 
 
 # ---- augmentation, streams -----------------------------------------------------------------------------------------
@@ -619,9 +723,14 @@ def _functions(spark: SparkSession, sf: str) -> DataFrame:
     return docs(spark, sf).select("id", F.concat(F.lit("function f"), "id", F.lit("(first: string) {\n  let total = first;\n  return total; // total\n}\n")).alias("text"))
 
 
-@query()
+@query("select doc_id::varchar as source_id, 'function f' || doc_id || '(first: string) {' as prefix, chr(10) || '  let total = first;' || chr(10) || '  return total; // total' || chr(10) as middle, sha256('}' || chr(10)) as suffix_hash, 0 as start_line, 'function' as fim_type from documents")
 def fim_functions(spark, sf):
-    return augment.fim_functions(_functions(spark, sf))
+    return augment.fim_functions(_functions(spark, sf)).select("source_id", "prefix", "middle", F.sha2("suffix", 256).alias("suffix_hash"), "start_line", "fim_type")
+
+
+@query()
+def fim_dataset(spark, sf):
+    return augment.fim_dataset(code(spark, sf), 100).select("id", "meta.strategy", "meta.middle_len", F.length("text").alias("chars"))
 
 
 @query()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,10 +35,10 @@ def read_sources(spark: SparkSession, root: str, suffix: str = ".ets", skip: str
     return out.select(F.sha2("path", 256).alias("id"), "path", project.alias("project_name"), "text")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, *more: Column) -> DataFrame:
     """(file, line_number from 0, content): the number counts within the file, whose lines one task reads whole."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n", -1)).alias("line_number", "content"))
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    return whole.select(F.col("_metadata.file_name").alias("file"), *more, F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n", -1)).alias("line_number", "content"))
 
 
 def summary(df: DataFrame, rows: int = 3) -> dict:
@@ -46,6 +46,25 @@ def summary(df: DataFrame, rows: int = 3) -> dict:
     return {"columns": df.columns, "text_like": [c for c in ("text", "content", "code", "llm_formatted") if c in df.columns], "first": [r.asDict() for r in df.limit(rows).collect()]}
 
 
+def read_markdown(spark: SparkSession, root: str, nested: bool = True) -> DataFrame:
+    """Markdown files below the root but for release notes; with ``nested`` off those of the root itself, all of them."""
+    if nested:
+        return read_sources(spark, root, ".md").where(~F.lower("path").contains("release-notes"))
+    files = spark.read.option("pathGlobFilter", "*.md").text(root, wholetext=True)
+    return files.select(F.col("_metadata.file_name").alias("path"), F.col("value").alias("text"))
+
+
+def file_check(spark: SparkSession, path: str) -> DataFrame:
+    """file_name, megabytes and rows of each JSON-lines file at the path."""
+    lines = spark.read.text(path)
+    return lines.groupBy(F.col("_metadata.file_name").alias("file_name"), (F.col("_metadata.file_size") / 1e6).alias("megabytes")).agg(F.count("*").alias("rows"))
+
+
+def jsonl_to_json(spark: SparkSession, path: str, out: str, most: int = 10_000) -> None:
+    """A file of JSON lines as one JSON array; a table too large for that is refused, as ``write_report`` does."""
+    write_report(read_jsonl(spark, path), out, most)
+
+
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").json(path)
 

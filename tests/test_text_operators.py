@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from loamworks.operators import augment, clean, filters, joins, judge, markdown, sample, shape, syntax
+from loamworks.operators import augment, clean, dedup, filters, joins, judge, markdown, sample, shape, syntax
+from loamworks.sources import files
 
 
 def one(spark, text, change, path=None):
@@ -109,7 +110,7 @@ def test_judgements(spark):
 
     def call(prompt, heat):
         if prompt == "bad":
-            raise OSError("down")
+            raise ConnectionError("down")
         return "no json"
 
     got = judge.judge(spark.createDataFrame([("1", "bad"), ("2", "x")], "item_id string, text string"), call, "{code}", replicas=2)
@@ -154,17 +155,127 @@ def test_syntax():
 def test_markdown():
     text = "# A\np [t](u)\n## B\nprose\n```ts\n# not a heading\nlet a;\n```\n```python\nx\n```\n# C\n```js\nopen"
     got = markdown.doc_records("d.md", text)
-    assert [r[3] for r in got] == ["<DOC>\nA / B\nprose\n</DOC>\n<CODE>\n# not a heading\nlet a;\n</CODE>", "<DOC>\nC\n</DOC>\n<CODE>\nopen\n</CODE>"]
+    assert [r[3] for r in got] == ["<DOC>\nSection: A / B\nSummary:\nprose\n</DOC>\n<CODE>\n# not a heading\nlet a;\n</CODE>", "# not a heading\nlet a;"]
+    assert [r[4:] for r in got] == [(1, 0, "doc_inject"), (1, 0, "pure_code")] and got[0][0].startswith("doc_inject:") and got[1][0] == got[0][0].replace("doc_inject", "pure_code")
     assert markdown.doc_records("d.md", None) == []
+    assert markdown.sections("# A\n## B\n```ts\nx\n```")[1]["codes"] == [("ts", "x")]  # a title alone is a section
+    assert markdown.heading_paths(["## A", "### C", "## B", "# D"]) == ["A", "A / C", "A / B", "D"]
+    assert markdown.sections("\n```ts\nx")[0]["codes"] == []
+    assert markdown.properties_and_events(["- [b](number): two\n- [a](): one\n- onClick(x)\n- plain\n- [a](): one"]) == (["- a: one", "- b: two"], ["- onClick(x)"])
 
 
 def test_fim_restores_the_code(spark):
-    code = "".join(f"let name{i} = other + {i};\n" for i in range(40))
-    out = augment.fim(spark.createDataFrame([(str(i), code) for i in range(20)] + [("n", None), ("s", "x")], "id string, text string")).collect()
-    assert len(out) == 20
+    code = "".join(f"function part{i}(other) {{\n  let name{i} = other + {i};\n  return name{i} * other;\n}}\n" for i in range(40))
+    out = augment.fim(spark.createDataFrame([(str(i), code) for i in range(40)] + [("n", None), ("s", "x")], "id string, text string")).collect()
+    assert len(out) == 40 and len({r["meta"]["strategy"] for r in out}) >= 3
     for r in out:
         a, b = r["meta"]["middle_chars"]
-        assert r["text"] == f"<PREFIX>{code[:a]}<SUFFIX>{code[b:]}<MIDDLE>{code[a:b]}"
+        assert r["text"] == f"<|fim_prefix|>{code[:a]}<|fim_suffix|>{code[b:]}<|fim_middle|>{code[a:b]}" and 80 <= b - a <= 1200
+
+
+def test_spans():
+    r = augment.rng_of(1, "x")
+    code = "let a = 1;\n" * 50
+    assert all(80 <= b - a <= 183 for a, b in (augment.token_span(code, r, 80, 1200) for _ in range(50))) and augment.token_span("short", r, 80, 1200) is None
+    body = "function f() {" + "x" * 300 + "}"
+    spans = [augment.function_span(body, r, 80, 1200) for _ in range(100)]
+    assert all(13 <= a < b <= 315 and 80 <= b - a <= 151 for a, b in spans)
+    assert augment.identifier_span("name other name", r, 1, 100) is None and augment.identifier_span("AA AA AA AA", r, 1, 100) is None
+    assert augment.identifier_span("name " * 4, r, 1, 100) is not None
+
+
+def test_fim_prefers_formatted_texts_and_mixes_both(spark):
+    code = "".join(f"let name{i} = other + {i};\n" for i in range(60))
+    df = spark.createDataFrame([(str(i), code, (code.upper() if i % 2 else "") if i else None) for i in range(10)], "id string, text string, llm_formatted string")
+    only = augment.fim_dataset(df, 4, weights=(("token", 1.0),)).collect()
+    assert [r["id"] for r in only] == ["1", "3", "5", "7"] and all("LET NAME" in r["text"] for r in only)
+    mix = augment.fim_with_originals(df, 100.0).collect()
+    assert sum(not r["is_fim"] for r in mix) == 10 and sum(r["is_fim"] for r in mix) == 15 and sorted(r["place"] for r in mix) == list(range(25))
+    assert augment.fim_with_originals(df, 0.0, replay=True).count() == 10
+
+
+def test_full_run_resumes(spark, tmp_path):
+    items = spark.createDataFrame([(i, f"text {i}", "en") for i in range(6)], "doc_id int, text string, lang string")
+    reply = '{"decision": "KEEP", "arkts_score": 4, "confidence": 0.5}'
+
+    def first(prompt, heat):
+        if prompt.endswith("3"):
+            raise ValueError("crash")
+        return reply, {"prompt_tokens": 7, "completion_tokens": 2, "total_tokens": 9}
+
+    path = str(tmp_path / "judged")
+    judged, told = judge.full_run(items, path, first, "{code}", key="doc_id", replicas=1)
+    assert judged.where("item_id = 'UNKNOWN'").count() == 1 and judged.where("lang = 'en'").count() == 5
+    totals = judge.usage_totals(judged).first()
+    assert (totals["judgements"], totals["exec_error"], totals["total_tokens"]) == (6, 1, 45)
+    judged, told = judge.full_run(items, path, lambda p, h: reply, "{code}", key="doc_id", replicas=1)
+    assert judged.where("item_id <> 'UNKNOWN'").count() == 6 and {r["item_id"]: r["len_chars"] for r in told.collect()}["3"] == 6
+
+
+def test_rules_in_rounds(spark):
+    rows = spark.createDataFrame([(str(i), "# note\n" * 12 if i % 2 else "let total = 1\n" * 3) for i in range(10)], "item_id string, text string")
+    reply = lambda p, h: '{"name": "Comment share", "thresholds": {"most": 0.6}}' if "notes" in p else "nothing"
+
+    def detect(df, n):
+        return df.select("item_id", F.col("text").startswith("#").alias("is_dirty"), F.lit("notes").alias("category"), F.lit("only notes").alias("reason"), F.lit(0.9).alias("confidence"))
+
+    kept, found = judge.rule_rounds(rows, detect, reply)
+    assert sorted(r["item_id"] for r in kept.collect()) == ["0", "2", "4", "6", "8"] and [tuple(r) for r in found.collect()] == [("notes", 5)]
+    assert judge.rules_from(judge.category_report(detect(rows, 0)), lambda p, h: "nothing") == []
+    out, counts = judge.integrated(rows, [{"name": "unknown"}])
+    assert out.where("reject_reason is null").count() == 10 and counts.count() == 0
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_lists_of_any_length(spark, monkeypatch, limit):
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+    names = ["ab", "a", "abc", "xabcx", "q-r-s", "", None, "zz", "repo~me~12", "éa"]
+    ids = ["a", "ab", "abc", "bcx", "12", "q", "none", "é", "zzz", None]
+    df = spark.createDataFrame([(n,) for n in names], "project_name string")
+    listed = [*ids, ""] if limit else ids
+    for some in (ids, listed):
+        m = spark.createDataFrame([(v, f"v{i}", i) for i, v in enumerate(some)], "id string, api_ver string, seq int")
+        got = {r["project_name"]: r["api_ver"] for r in joins.add_api_version(df, m).collect()}
+        assert got == {n: next((f"v{i}" for i, v in enumerate(some) if n is not None and v is not None and v in n), None) for n in names}
+    urls = spark.createDataFrame([("https://h/q/r-s.git",), ("https://h/abc",), (None,)], "git_url string")
+    assert {r[0] for r in joins.matched_projects(df, urls).collect()} == {"ab", "a", "abc", "q-r-s"}
+    paths = spark.createDataFrame([("org/multi-nav-bar/x.ets",), ("a/b/c/multi-nav-bar",), ("a/b",), (None,)], "path string")
+    assert [r["leaked"] for r in joins.tag_leaks(paths, spark.createDataFrame([("Multi_Nav_Bar",), ("-",), ("zz",)], "pattern string")).orderBy("path").collect()] == [False, False, False, True]
+
+
+def test_strata_of_null_and_empty(spark):
+    rows = [(str(i), None if i < 6 else "" if i < 40 else "x") for i in range(100)]
+    got = sample.stratified_sample(spark.createDataFrame(rows, "id string, s string"), 50, ["s"]).groupBy("s").count().collect()
+    assert {r["s"]: r["count"] for r in got} == {None: 3, "": 17, "x": 30}
+
+
+def test_reports_are_whole_or_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="more than 3 rows"):
+        files.write_report(spark.range(4), str(tmp_path / "r"), 3)
+
+
+def test_statistics_of_completion_records(spark):
+    rows = [("a", None, "c", "p", "f.ets"), ("a", "b", "c", None, None)]
+    got = shape.concat_statistics(spark.createDataFrame(rows, "above_functions string, source_method_code string, below_functions string, projectName string, filePath string")).first()
+    assert (got["total"], got["fields_processed"], got["missing_fields"], got["ids_from_path"], got["fields_renamed"]) == (2, 1, 1, 1, 2)
+    assert shape.with_text(spark.createDataFrame([("x",)], "code string")).first()["text"] == "x" and shape.with_text(spark.range(3)).count() == 0
+
+
+def test_near_duplicates_against_exact_similarity(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    sets = {i: {t[k : k + 5] for k in range(len(t) - 4)} for i, t in texts.items()}
+    ids = sorted(texts)
+    chance: dict[int, float] = {}  # of a row with a smaller id at 0.85 or more: that the closest of those shares a band
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if sets[a] and sets[b] and min(len(sets[a]), len(sets[b])) >= 0.85 * max(len(sets[a]), len(sets[b])):
+                alike = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+                if alike >= 0.85:
+                    chance[b] = max(chance.get(b, 0.0), 1 - (1 - alike**dedup.ROWS) ** dedup.BANDS)
+    got = {r["doc_id"] for r in dedup.near_duplicate_ids(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), id_col="doc_id").collect()}
+    found, expected = len(chance.keys() & got), sum(chance.values())
+    assert len(chance) > 10 and found >= expected - 3 * sum(p * (1 - p) for p in chance.values()) ** 0.5
+    print(f"{found} of {len(chance)} rows at 0.85 or more, {expected:.1f} expected")
 
 
 def test_renaming():
