@@ -25,8 +25,11 @@ UNLABELLED = 15_000
 #: Words that the classifier may use at most, and toxic texts that a word must be in.
 WORDS = 3_000
 LEAST_TEXTS = 3
+#: Times the log of the number of words that a word's likelihood ratio must reach. This, the steps and the sparsity were
+#: chosen on training rows alone: fitted where crc32(doc_id) mod 3 is 0, compared where it is 2.
+SCREEN = 1.0
 THRESHOLD = 0.7
-STEPS = 800
+STEPS = 400
 RATE = 0.1
 SPARSITY = 2e-5
 _WORD = re.compile(r"\w+")
@@ -99,11 +102,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, *, id_col: str = "
         if not n_p or not n_u:
             return Model({}, float(np.log(prior / (1 - prior))))
         counts = held.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(F.count_if("toxic").alias("p"), F.count_if(~F.col("toxic")).alias("u")).where(F.col("p") >= LEAST_TEXTS)
-        # Twice the log likelihood ratio of two rates against one, beyond what the best of so many equal words reaches.
+        # Twice the log likelihood ratio of two rates against one, of the order of what the best of so many equal words reaches.
         part = lambda k, n, rate: F.when(k > 0, k * F.log(k / (n * rate))).otherwise(0) + F.when(k < n, (n - k) * F.log((n - k) / (n * (1 - rate)))).otherwise(0)
         share = (F.col("p") + F.col("u") + 1e-9) / F.lit(n_p + n_u + 1e-6)
         counts = counts.withColumn("ratio", 2 * (part(F.col("p"), F.lit(n_p), share) + part(F.col("u"), F.lit(n_u), share))).persist()
-        least = 2 * np.log(max(2, counts.count()))
+        least = SCREEN * np.log(max(2, counts.count()))
         chosen = sorted(r["word"] for r in counts.where(F.col("ratio") >= float(least)).orderBy(F.desc("ratio"), "word").limit(WORDS).select("word").collect())
         counts.unpersist()
         vocabulary = held.sparkSession.createDataFrame(list(zip(chosen, range(len(chosen)))), "word string, place int")
@@ -133,7 +136,8 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
 
 def keep(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows, with all their columns, whose score is below ``threshold``."""
+    """The rows, with all their columns, whose score is below ``threshold``. Null texts score as empty ones; equal texts
+    score alike, so repeated rows stay or go together; an empty table stays empty. Other columns are carried as they are."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
