@@ -227,7 +227,8 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
 
 def keep(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows, with all their columns, whose score is ``threshold`` or more."""
+    """The rows, with all their columns, whose score is ``threshold`` or more. Null texts score as empty ones; equal texts
+    score alike, so repeated rows stay or go together; an empty table stays empty. Other columns are carried as they are."""
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

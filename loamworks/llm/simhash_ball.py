@@ -136,6 +136,8 @@ def _ball_links(half: int, radius: int, prefix: int):
 
 
 def with_fingerprints(docs: DataFrame, *, text_col: str = "text", extra: tuple[str, ...] = ()) -> DataFrame:
+    """The ``extra`` columns and ``fp`` (the fingerprint as a long) for every row; 0 for null, empty and wordless texts.
+    Repeated rows stay repeated, an empty table gives no rows, other columns are not read."""
     return docs.select(*extra, text_col).mapInArrow(lean(_fingerprints(list(extra), text_col)), ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in extra), "fp long"]))
 
 

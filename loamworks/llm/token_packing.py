@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from loamworks.llm.shared import lean
 
@@ -140,7 +141,11 @@ def pack_tokens(
 
     Null and empty texts take a segment of no ids, so every row of the input is in the output. An overlong document is
     cut every ``length`` ids. Ties in size go by row order. An empty table gives no rows. Other columns are not read.
+    Ids are integers; those of another type are an error. Each run of ``window_tokens`` ids of a task's rows is packed by
+    itself, so its last rows, and those of a small task, can be part filled.
     """
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} is no integer column")
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((ranks, pattern))  # a vocabulary file: its size does not grow with the input
     dtype = "<u2" if max(ranks.values(), default=0) < 65_536 else "<u4"
@@ -169,7 +174,11 @@ def pack_tokens(
 
 
 def write_packed(packed: DataFrame, path: str, *, length: int = LENGTH, wide: bool = False) -> None:
-    """The matrices as files: rows padded with zeros to ``length`` ids, and position ids that restart at each segment."""
+    """The matrices as files: rows padded with zeros to ``length`` ids, and position ids that restart at each segment.
+
+    Takes ``pack_tokens``' rows, which hold no nulls; repeated rows are written repeatedly; an empty table gives files
+    without rows; other columns are not written. ``path`` is overwritten.
+    """
     dtype = "<u4" if wide else "<u2"
 
     def pad(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
