@@ -28,6 +28,7 @@ def shard_by_bytes(docs: DataFrame, shards: int, *, id_col: str = "doc_id", text
         F.coalesce(F.crc32(docs[text_col].cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         F.monotonically_increasing_id().alias("salt"),
     )
+    slim = written(slim, "sizes")  # range bounds and dealing both read it: the texts are read once
     # The partition number is stored with the row: whatever is computed again later, offsets and rows agree.
     dealt = written(slim.repartitionByRange("doc_id", "text_crc32", "size", "salt").withColumn("part", F.spark_partition_id()), "shards")
     # One row a partition: a window over them all is as small as the plan.
