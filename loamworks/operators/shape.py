@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamworks.functions.text import strip
+from loamworks.operators import ordering
 
 # Sections of a completion prompt.
 ABOVE = r"(?s)The context above the method is:\n```arkts\n(.*?)```\n\nAnd here is the code snippet you are asked to complete"
@@ -328,15 +329,20 @@ def repo_rollup(status: DataFrame) -> DataFrame:
     return distribution(status, "status")
 
 
-def in_split_order(df: DataFrame, column: str = "split", *order: str) -> DataFrame:
-    """Training, validation, test and unused rows, then the rest, each by ``order``."""
-    place = F.when(F.col(column) == "train", 0).when(F.col(column) == "valid", 1).when(F.col(column) == "test", 2).when(F.col(column) == "unused", 3).otherwise(4)
-    return df.orderBy(place, *order)
+def _in_order(df: DataFrame, order: list[Column | str], place: str | None) -> DataFrame:
+    return df.orderBy(*order) if place is None else ordering.ranked(df, *order).withColumnRenamed("position", place)
 
 
-def by_project(df: DataFrame, *order: str) -> DataFrame:
-    """By project, rows without one first, then by ``order``."""
-    return df.orderBy(F.coalesce("project_name", F.lit("")), *order)
+def in_split_order(df: DataFrame, column: str = "split", *order: str, place: str | None = None) -> DataFrame:
+    """Training, validation, test and unused rows, then the rest, each by ``order``. With ``place``, the rows are not
+    sorted but have that column: their places in this order, from 0."""
+    rank = F.when(F.col(column) == "train", 0).when(F.col(column) == "valid", 1).when(F.col(column) == "test", 2).when(F.col(column) == "unused", 3).otherwise(4)
+    return _in_order(df, [rank, *order], place)
+
+
+def by_project(df: DataFrame, *order: str, place: str | None = None) -> DataFrame:
+    """By project, rows without one first, then by ``order``. ``place`` as for ``in_split_order``."""
+    return _in_order(df, [F.coalesce("project_name", F.lit("")), *order], place)
 
 
 def head_for(main: DataFrame, other: DataFrame, ratio: float, *order: str) -> DataFrame:

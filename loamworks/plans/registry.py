@@ -635,17 +635,17 @@ def repo_rollup(spark, sf):
 _SPLIT = "case doc_id % 5 when 0 then 'train' when 1 then 'valid' when 2 then 'test' when 3 then 'unused' else 'other' end"
 
 
-@query(f"select doc_id, {_SPLIT} as split from (select * from documents order by case {_SPLIT} when 'train' then 0 when 'valid' then 1 when 'test' then 2 when 'unused' then 3 else 4 end, doc_id limit 70)")
+@query(f"select doc_id, {_SPLIT} as split, row_number() over (order by case {_SPLIT} when 'train' then 0 when 'valid' then 1 when 'test' then 2 when 'unused' then 3 else 4 end, doc_id) - 1 as place from documents")
 def split_order(spark, sf):
     k = F.col("doc_id") % 5
     split = F.when(k == 0, "train").when(k == 1, "valid").when(k == 2, "test").when(k == 3, "unused").otherwise("other")
-    return shape.in_split_order(docs(spark, sf).select("doc_id", split.alias("split")), "split", "doc_id").limit(70)
+    return shape.in_split_order(docs(spark, sf).select("doc_id", split.alias("split")), "split", "doc_id", place="place")
 
 
-@query("select doc_id, project_name from (select doc_id, case when doc_id % 4 = 0 then null else source end as project_name from documents) order by coalesce(project_name, ''), doc_id limit 60")
+@query("select *, row_number() over (order by coalesce(project_name, ''), doc_id) - 1 as place from (select doc_id, case when doc_id % 4 = 0 then null else source end as project_name from documents)")
 def project_order(spark, sf):
     d = docs(spark, sf).withColumn("project_name", F.when(F.col("doc_id") % 4 != 0, F.col("project_name")))
-    return shape.by_project(d, "doc_id").select("doc_id", "project_name").limit(60)
+    return shape.by_project(d.select("doc_id", "project_name"), "doc_id", place="place")
 
 
 @query("select doc_id from documents order by doc_id limit (select floor(count(*) * 1.5)::bigint from benchmark)")
@@ -696,14 +696,14 @@ def report_round_trip(spark, sf):
     return files.read_json(spark, path).select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("int").alias("n_regionkey"))
 
 
-@query("select doc_id, unnest(range(len(string_split(text, chr(10)))))::int as line_number, sha256(unnest(string_split(text, chr(10)))) as hash from documents where doc_id % 50 = 0")
+@query("select page_id, unnest(range(len(string_split(html, chr(10)))))::int as line_number, sha256(unnest(string_split(html, chr(10)))) as hash from pages")
 def line_scan(spark, sf):
-    """Whole files, a folder a text, read back line by line."""
+    """Whole files, a folder a page, read back line by line."""
     path = _trip(spark, "lines")
-    some = table(spark, sf, "documents").where("doc_id % 50 = 0").select("text", "doc_id")
-    some.repartition("doc_id").write.partitionBy("doc_id").option("maxRecordsPerFile", 1).text(path)
-    name = F.regexp_extract("_metadata.file_path", r"doc_id=(\d+)", 1).cast("long")
-    return files.read_lines(spark, path, name.alias("doc_id")).select("doc_id", "line_number", F.sha2("content", 256).alias("hash"))
+    pages = table(spark, sf, "pages").select("html", "page_id")
+    pages.repartition("page_id").write.partitionBy("page_id").option("maxRecordsPerFile", 1).text(path)
+    name = F.regexp_extract("_metadata.file_path", r"page_id=(\d+)", 1).cast("long")
+    return files.read_lines(spark, path, name.alias("page_id")).select("page_id", "line_number", F.sha2("content", 256).alias("hash"))
 
 
 # ---- augmentation, streams -----------------------------------------------------------------------------------------

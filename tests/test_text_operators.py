@@ -281,3 +281,14 @@ def test_near_duplicates_against_exact_similarity(spark):
 def test_renaming():
     assert augment.declared("function f(first: string, second) { let total = 1; const x = (y) => { return y } }") == ["total", "x", "first", "second", "y"]
     assert augment.rename("let a = b.a + a; // a\n'a'", {"a": "z"}) == "let z = b.a + z; // a\n'a'"
+
+
+def test_places_are_those_of_the_sorted_rows(spark):
+    rows = [(1, "test", "b"), (2, None, None), (3, "train", ""), (4, "odd", "a"), (5, "unused", "b"), (6, "valid", None), (7, "train", "a")]
+    df = spark.createDataFrame(rows, "id int, split string, project_name string")
+    for f, args, want in ((shape.in_split_order, ("split", "id"), [3, 7, 6, 1, 5, 2, 4]), (shape.by_project, ("id",), [2, 3, 6, 4, 7, 1, 5])):
+        assert [r["id"] for r in f(df, *args).collect()] == want
+        placed = f(df, *args, place="at")
+        assert placed.columns == [*df.columns, "at"]
+        assert sorted((r["at"], r["id"]) for r in placed.collect()) == list(enumerate(want))
+        assert f(df.limit(0), *args, place="at").count() == 0
