@@ -12,15 +12,20 @@ from pyspark.sql import functions as F
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares; one of our own only where the session names none and all runs on one machine.
+    A cluster without a named folder is an error, as each executor would write to its own disk."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir names no folder that the cluster shares")
+    return named or LOCAL_CHECKPOINTS
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the folder that the cluster shares; one of our own only where the session names none and all runs
-    on one machine. A cluster without a named folder is an error."""
+    """Cut lineage in the folder that the cluster shares."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and not sc.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir names no folder that the cluster shares")
-        sc.setCheckpointDir(named or LOCAL_CHECKPOINTS)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

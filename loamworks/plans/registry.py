@@ -664,8 +664,7 @@ def _trip(spark: SparkSession, tag: str) -> str:
     """A folder of its own in the shared folder, for a table that is written and read again."""
     import uuid
 
-    named = spark.conf.get("spark.checkpoint.dir", None) or ordering.LOCAL_CHECKPOINTS
-    return f"{named.rstrip('/')}/loamworks-trip-{tag}-{uuid.uuid4().hex}"
+    return f"{ordering.shared_folder(spark).rstrip('/')}/loamworks-trip-{tag}-{uuid.uuid4().hex}"
 
 
 @query("select doc_id, lang, sha256(text) as hash from documents")
