@@ -20,7 +20,7 @@ def length_bucket(length: Column) -> Column:
 
 def allocation(sizes: dict[tuple, int], n: int) -> dict[tuple, int]:
     """Rows a stratum: its floor share of ``n``, one at least and all it has at most; what is left goes round, the most
-    spare first."""
+    spare first. The rule for counts that are at hand; ``quotas`` applies it to a table."""
     total = sum(sizes.values())
     if n >= total:
         return dict(sizes)
@@ -34,20 +34,35 @@ def allocation(sizes: dict[tuple, int], n: int) -> dict[tuple, int]:
     return got
 
 
+#: Strata whose quotas are broadcast at most; more are joined by a shuffle.
+BROADCAST_STRATA = 100_000
+
+
+def quotas(df: DataFrame, n: int, strata: list[str]) -> DataFrame:
+    """The strata and ``quota``: the floor share of ``n``, one at least and all that a stratum has at most; what is left
+    goes one each to those with the most spare rows, ties by their names, null first. What is left is less than the
+    strata with spare rows, so one turn is enough."""
+    sizes = checkpointed(df.groupBy(*strata).agg(F.count("*").alias("__size")))
+    total = sizes.agg(F.sum("__size")).first()[0] or 0
+    if n >= total:
+        return sizes.withColumnRenamed("__size", "quota")
+    base = sizes.withColumn("quota", F.least("__size", F.greatest(F.lit(1), F.floor(F.col("__size") / F.lit(float(total)) * F.lit(n)))))
+    left = max(0, n - base.agg(F.sum("quota")).first()[0])
+    names = [key for c in strata for key in (F.col(c).isNotNull(), F.col(c).cast("string"))]
+    more = base.where("quota < __size").orderBy(F.col("quota") - F.col("__size"), *names).limit(left).withColumn("quota", F.lit(1).cast("long"))
+    return base.unionByName(more).groupBy(*strata).agg(F.sum("quota").alias("quota"))
+
+
 def stratified_sample(df: DataFrame, n: int, strata: list[str], *, id_col: str = "id", seed: int = 42) -> DataFrame:
-    """Strata are few: their counts go to the driver, the rows don't. At most ``n`` rows."""
-    sizes = {tuple(r)[:-1]: r["count"] for r in df.groupBy(*strata).count().collect()}
-    keys = {k: tuple((x is not None, "" if x is None else str(x)) for x in k) for k in sizes}  # null and empty are two strata
-    got = allocation({keys[k]: v for k, v in sizes.items()}, n)
-    rows = [(*k, got[keys[k]]) for k in sizes]
-    quota = df.sparkSession.createDataFrame(rows, df.select(*strata).schema.add("__quota", "long")) if rows else None
-    if quota is None:
-        return df
-    same = [df[c].eqNullSafe(quota[c]) for c in strata]
-    # each stratum is cut by a windowed top-k, which stops early within each task
-    ranked_rows = df.withColumn("__rank", F.row_number().over(Window.partitionBy(*strata).orderBy(random_key(seed, id_col), id_col)))
-    picked = ranked_rows.join(F.broadcast(quota), same).where(F.col("__rank") <= F.col("__quota"))
-    return picked.select(*[df[c] for c in df.columns]).orderBy(random_key(seed, id_col)).limit(n)
+    """At most ``n`` rows, as many of each stratum as ``quotas`` gives it; null is a stratum of its own. An empty table
+    gives no rows. Any number of strata will do."""
+    quota = checkpointed(quotas(df, n, strata)).withColumnRenamed("quota", "__quota")
+    if quota.count() <= BROADCAST_STRATA:
+        quota = F.broadcast(quota)
+    # no quota is above n, so each task stops at n rows of a stratum before the shuffle
+    first = df.withColumn("__rank", F.row_number().over(Window.partitionBy(*strata).orderBy(random_key(seed, id_col), id_col))).where(F.col("__rank") <= n)
+    picked = first.join(quota, [first[c].eqNullSafe(quota[c]) for c in strata]).where(F.col("__rank") <= F.col("__quota"))
+    return picked.select(*[first[c] for c in df.columns]).orderBy(random_key(seed, id_col)).limit(n)
 
 
 def ratio_split(df: DataFrame, n: int, ratios: tuple[float, float, float] = (0.8, 0.1, 0.1), *, id_col: str = "id", seed: int = 42) -> DataFrame:

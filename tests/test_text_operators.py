@@ -249,6 +249,23 @@ def test_strata_of_null_and_empty(spark):
     assert {r["s"]: r["count"] for r in got} == {None: 3, "": 17, "x": 30}
 
 
+@pytest.mark.parametrize("n", [1, 7, 40, 90, 400])
+@pytest.mark.parametrize("most", [0, sample.BROADCAST_STRATA])
+def test_quotas_are_the_allocation(spark, monkeypatch, n, most):
+    monkeypatch.setattr(sample, "BROADCAST_STRATA", most)
+    rows = [(str(i), None if i % 31 == 0 else f"s{i * i % 23}", "" if i % 3 else "b") for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, s string, t string")
+    sizes = {tuple(r)[:2]: r["count"] for r in df.groupBy("s", "t").count().collect()}
+    name = {k: tuple((x is not None, x or "") for x in k) for k in sizes}
+    want = sample.allocation({name[k]: v for k, v in sizes.items()}, n)
+    assert {name[r["s"], r["t"]]: r["quota"] for r in sample.quotas(df, n, ["s", "t"]).collect()} == want
+    got = sample.stratified_sample(df, n, ["s", "t"])
+    assert got.columns == df.columns and got.count() == min(n, 300)
+    if sum(want.values()) <= n:
+        assert {name[r["s"], r["t"]]: r["count"] for r in got.groupBy("s", "t").count().collect()} == want
+    assert sample.stratified_sample(df.limit(0), n, ["s", "t"]).count() == 0
+
+
 def test_reports_are_whole_or_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="more than 3 rows"):
         files.write_report(spark.range(4), str(tmp_path / "r"), 3)
