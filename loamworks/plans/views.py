@@ -39,7 +39,8 @@ def spread(df: DataFrame) -> DataFrame:
     """A few files with large row groups would keep most cores idle; their rows are dealt out. With as many files as
     cores the scan's own partitions stand, and nothing is shuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    files = len(df._jdf.inputFiles())  # counted in the JVM: the names stay there
+    return df.repartition(cores) if files < cores else df
 
 
 def docs(spark: SparkSession, sf: str, *more: str) -> DataFrame:
