@@ -3,20 +3,24 @@
 Two fingerprints are within ``radius`` bits exactly if some variant lies within half the radius of both. Every
 fingerprint emits all its variants within half the radius; equal variants meet. To keep the shuffle small a variant's
 first bits are its shuffle key: a fingerprint travels once to each key that its variants have, and the receiving task
-makes the variants themselves, in blocks by their next bits, so a task's memory does not grow with its share. All
+makes the variants themselves, in blocks by their next bits, each halved until it is small enough, so a task holds no more
+variants for a large share or for one large group of near copies. All
 members of one variant are within the radius of each other, so a star links them without loss; links are verified.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from loamworks.llm.components import components, spanning_forest
 from loamworks.llm.shared import lean, written
@@ -26,7 +30,7 @@ RADIUS = 4
 SHINGLE = 4
 SEED = 42
 _CHUNK = 1 << 16
-#: Variants that a task holds at once.
+#: Variants, and links not yet merged, that a task holds at once.
 BLOCK_VARIANTS = 1_000_000
 
 
@@ -59,56 +63,72 @@ def _fingerprints(columns: list[str], text_col: str):
     return run
 
 
+@cache
 def _masks(bits: int, flips: int) -> np.ndarray:
     """All masks of at most ``flips`` of the lowest ``bits`` bits."""
     return np.array([sum(1 << i for i in c) for k in range(flips + 1) for c in combinations(range(bits), k)], np.uint64)
 
 
+def _n_variants(bits: int, flips: int, spent: np.ndarray) -> int:
+    """Variants in the lowest ``bits`` bits of fingerprints that have spent so many of ``flips`` flips."""
+    own = np.bincount(spent[spent <= flips], minlength=flips + 1).tolist()
+    return sum(n * sum(comb(bits, i) for i in range(flips - k + 1)) for k, n in enumerate(own))
+
+
 def _ball_links(half: int, radius: int, prefix: int):
     """Rows (key, fp), sorted by key -> a forest of the links between fingerprints that share a variant with that key."""
     low = BITS - prefix
-    by_flips = {k: _masks(low, k) for k in range(half + 1)}
+
+    def blocks(key: int, fps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All (variants, their fingerprints' places) under the key, at most ``BLOCK_VARIANTS`` at once however alike the
+        fingerprints are: a block is halved by its next bit until it is small enough, or is one variant."""
+        places = np.arange(len(fps), dtype=np.int32)
+        todo = [(prefix, key, places, np.bitwise_count((fps >> np.uint64(low)) ^ np.uint64(key)))]
+        while todo:
+            depth, lead, mine, spent = todo.pop()
+            left = BITS - depth
+            if left and _n_variants(left, half, spent) > BLOCK_VARIANTS:
+                bit = (fps[mine] >> np.uint64(left - 1) & np.uint64(1)).astype(np.uint8)
+                parts = []
+                for side in (0, 1):
+                    after = spent + (bit != side)
+                    fit = after <= half
+                    parts.append((depth + 1, lead << 1 | side, mine[fit], after[fit]))
+                # the smaller part is done first, so that what waits does not pile up
+                todo += sorted((x for x in parts if len(x[2])), key=lambda x: -_n_variants(left - 1, half, x[3]))
+                continue
+            variant, owner = [], []
+            for k in range(half + 1):
+                those = mine[spent == k]
+                if len(those):
+                    masks = _masks(left, half - k)
+                    start = (np.uint64(lead) << np.uint64(left)) | (fps[those] & np.uint64((1 << left) - 1))
+                    variant.append((start[:, None] ^ masks).ravel())
+                    owner.append(np.repeat(those, len(masks)))
+            if variant:
+                yield np.concatenate(variant), np.concatenate(owner)
 
     def links(key: int, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         fps = np.unique(fps)
         if len(fps) < 2:
             return fps[:0], fps[:0]
-        spent = np.bitwise_count((fps >> np.uint64(low)) ^ np.uint64(key))
-        block = 0  # further bits of the variant that split the work
-        while len(fps) * len(by_flips[half]) >> block > BLOCK_VARIANTS and block < 24:
-            block += 1
-        lead = np.uint64(low - block)
-        rest = {k: _masks(low - block, k) for k in range(half + 1)}
-        found_a, found_b = [], []
-        base = (np.uint64(key) << np.uint64(low)) | (fps & np.uint64((1 << low) - 1))
-        for sub in range(1 << block):
-            want = (np.uint64(key) << np.uint64(block)) | np.uint64(sub)
-            flips = spent + np.bitwise_count((base >> lead) ^ want)
-            variant, owner = [], []
-            for k in range(half + 1):
-                mine = np.flatnonzero(flips == k)
-                if len(mine):
-                    masks = rest[half - k]
-                    start = (want << lead) | (fps[mine] & np.uint64((1 << int(lead)) - 1))
-                    variant.append((start[:, None] ^ masks).ravel())
-                    owner.append(np.repeat(mine, len(masks)))
-            if not variant:
-                continue
-            v, o = np.concatenate(variant), np.concatenate(owner)
+        a = b = np.empty(0, np.int64)  # the forest so far, and the blocks' forests that are not yet in it
+        found, n_found = [], 0
+        for v, o in blocks(key, fps):
             order = np.argsort(v, kind="stable")
             v, o = v[order], o[order]
             same = v[1:] == v[:-1]
-            x, y = o[:-1][same], o[1:][same]  # neighbours in a run link the whole run
+            x, y = o[:-1][same].astype(np.int64), o[1:][same].astype(np.int64)  # neighbours in a run link the whole run
             if len(x):
                 pair = np.unique(np.minimum(x, y) * len(fps) + np.maximum(x, y))
                 x, y = pair // len(fps), pair % len(fps)
                 true = np.bitwise_count(fps[x] ^ fps[y]) <= radius
-                a, b = spanning_forest(x[true], y[true])
-                found_a.append(a)
-                found_b.append(b)
-        if not found_a:
-            return fps[:0], fps[:0]
-        a, b = spanning_forest(np.concatenate(found_a), np.concatenate(found_b))
+                found.append(spanning_forest(x[true], y[true]))
+                n_found += len(found[-1][0])
+                if n_found > BLOCK_VARIANTS:
+                    a, b = spanning_forest(*map(np.concatenate, zip((a, b), *found)))
+                    found, n_found = [], 0
+        a, b = spanning_forest(*map(np.concatenate, zip((a, b), *found)))
         return fps[a], fps[b]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -182,7 +202,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """The rows, with all their columns, less all but one of each component: the row with the smallest id stays (null
     ids last; of repeated rows any one, the same each time it is read)."""
     at = docs.columns.index(text_col)
-    kind = docs.schema.simpleString()
+    kind = StructType([StructField("doc", docs.schema), StructField("fp", LongType())])  # no DDL text: names may hold anything
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -190,7 +210,8 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.int64())], names=["doc", "fp"])
 
     # The rows go into one column, so none of theirs can clash; written once, as their numbers must stay the same.
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc")).mapInArrow(lean(run), f"doc {kind}, fp long")
+    named = [docs["`" + c.replace("`", "``") + "`"] for c in docs.columns]
+    packed = docs.select(F.struct(*named).alias("doc")).mapInArrow(lean(run), kind)
     held = written(packed.withColumn("row", F.monotonically_increasing_id()), "rows")
     own = F.col("doc").getField(id_col)
     slim = held.select("row", "fp", F.struct(own.isNull().alias("no_id"), own.alias("id"), "row").alias("least"))

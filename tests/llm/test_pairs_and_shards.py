@@ -92,6 +92,32 @@ def test_ball_links_equal_all_pairs(block, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("most", [2_000, 100_000])
+def test_one_large_group_of_near_copies_is_held_in_bounded_blocks(most, monkeypatch):
+    """Fingerprints that agree in most bits are not split by their next few bits."""
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    fps = sorted({0x9E3779B97F4A7C15 ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 9), replace=False)) for _ in range(400)})
+    fps = [f for f in fps if ((f >> 60) ^ 0x9).bit_count() <= 2]
+    held, sort = [], np.argsort
+    monkeypatch.setattr(simhash_ball, "BLOCK_VARIANTS", most)
+    monkeypatch.setattr(simhash_ball.np, "argsort", lambda v, **kw: held.append(len(v)) or sort(v, **kw))
+    links = pd.concat(simhash_ball._ball_links(2, 4, 4)([pd.DataFrame({"key": 0x9, "fp": np.array(fps, np.uint64).view(np.int64)})]))
+    monkeypatch.undo()
+    assert max(held) <= most
+    low = simhash_ball._masks(60, 2).tolist()  # variants under the key, as plainly as can be
+    flips = [((f >> 60) ^ 0x9).bit_count() for f in fps]
+    meet = {}
+    for i, f in enumerate(fps):
+        for m in low:
+            if m.bit_count() + flips[i] <= 2:
+                meet.setdefault((f & (1 << 60) - 1) ^ m, []).append(i)
+    assert sum(held) == sum(map(len, meet.values()))
+    at = {int(np.uint64(f).view(np.int64)): i for i, f in enumerate(fps)}
+    assert groups_of(len(fps), [(at[a], at[b]) for a, b in zip(links["a"], links["b"])]) == groups_of(len(fps), [(x[0], y) for x in meet.values() for y in x])
+
+
 def test_near_duplicates(spark):
     long = " ".join(f"w{i}" for i in range(200))
     rows = [(5, long), (3, long), (3, long), (9, long + " w"), (None, long), (8, None), (2, ""), (4, "alone in here"), (None, "nobody")]
@@ -112,6 +138,13 @@ def test_keep_one(spark):
     assert sorted((r["doc_id"] if r["doc_id"] is not None else -1) for r in kept.collect()) == [-1, 2, 3, 4]
 
 
+def test_keep_one_with_any_column_names(spark):
+    table = docs(spark, [(5, "a text here"), (3, "a text here"), (4, "alone")]).selectExpr("*", "1 as `a b`", "2 as `n-chars`", "named_struct('x y', 3) as `A:b,c<d>`", "4 as `q``q`", "5 as `u.v`")
+    kept = simhash_ball.keep_one(table)
+    assert kept.schema.names == table.schema.names
+    assert sorted(tuple(r) for r in kept.collect()) == [(i, t, "x", "y", 7, 9, 1, 2, (3,), 4, 5) for i, t in ((3, "a text here"), (4, "alone"))]
+
+
 def test_sharding(spark):
     rows = [(i, "x" * (i * 37 % 500)) for i in range(300)] + [(7, "same")] * 50 + [(None, None), (None, "é")]
     out = sharding.shard_by_bytes(docs(spark, rows), 5).collect()
